@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gristmill.llm import lines
+from gristmill.llm import lines, reading
 from gristmill.session import table
 
 
@@ -20,7 +20,15 @@ def p6_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.block_report(lines.news_docs(table(spark, sf_dir, "news")))
 
 
-QUERIES = {f.__name__: f for f in (p6_found, p6_clean_texts, p6_blocks)}
+def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reading.found_levels(table(spark, sf_dir, "documents"), table(spark, sf_dir, "reading_labels"))
+
+
+def p9_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reading.level_profile(table(spark, sf_dir, "documents"), table(spark, sf_dir, "reading_labels"))
+
+
+QUERIES = {f.__name__: f for f in (p6_found, p6_clean_texts, p6_blocks, p9_found, p9_profile)}
 
 _SPACE = r"[\s\x{00a0}\x{1680}\x{2000}-\x{200b}\x{202f}\x{205f}\x{3000}\x{feff}]+"
 _KEYED = rf"""with l as (select id as row_id, source_name, url, unnest(string_split(full_text_location, chr(10))) as line,
