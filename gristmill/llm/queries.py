@@ -34,8 +34,8 @@ _SPACE = r"[\s\x{00a0}\x{1680}\x{2000}-\x{200b}\x{202f}\x{205f}\x{3000}\x{feff}]
 _KEYED = rf"""with l as (select id as row_id, source_name, url, unnest(string_split(full_text_location, chr(10))) as line,
     unnest(range(len(string_split(full_text_location, chr(10))))) as line_no
   from news where source_name is not null and full_text_location is not null),
-k as (select *, regexp_replace(regexp_replace(regexp_replace(regexp_replace(replace(lower(line), 'ß', 'ss'),
-    '\p{{Nd}}+', '0', 'g'), '{_SPACE}', '', 'g'), '^[^\p{{L}}\p{{N}}\p{{M}}]+', ''), '[^\p{{L}}\p{{N}}\p{{M}}]+$', '') as key from l),
+k as (select *, regexp_replace(regexp_replace(regexp_replace(regexp_replace(lower(line),
+    '\p{{Nd}}+', '0', 'g'), '{_SPACE}', '', 'g'), '^[^\p{{L}}\p{{N}}]+', ''), '[^\p{{L}}\p{{N}}]+$', '') as key from l),
 t as (select source_name, count(distinct url) as total from news group by 1),
 r as (select source_name, key from k join t using (source_name) where key <> '' group by source_name, key, total
   having count(distinct url) >= 4 and count(distinct url) * 100 >= total * 5)"""
