@@ -4,10 +4,22 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gristmill.llm import lines, reading
+from gristmill.llm import boilerplate, lines, reading
 from gristmill.session import table
 
 
+def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return boilerplate.furniture_lines(table(spark, sf_dir, "news"), table(spark, sf_dir, "raw_documents"))
+
+
+def p1_kept_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return boilerplate.main_text_sizes(table(spark, sf_dir, "news"), table(spark, sf_dir, "raw_documents"))
+
+
+def p1_host_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return boilerplate.host_paths(table(spark, sf_dir, "raw_documents"))
+
+
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.repeated_lines(lines.news_docs(table(spark, sf_dir, "news")))
 
@@ -28,7 +40,7 @@ def p9_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reading.level_profile(table(spark, sf_dir, "documents"), table(spark, sf_dir, "reading_labels"))
 
 
-QUERIES = {f.__name__: f for f in (p6_found, p6_clean_texts, p6_blocks, p9_found, p9_profile)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_kept_lines, p1_host_paths, p6_found, p6_clean_texts, p6_blocks, p9_found, p9_profile)}
 
 _SPACE = r"[\s\x{00a0}\x{1680}\x{2000}-\x{200b}\x{202f}\x{205f}\x{3000}\x{feff}]+"
 _KEYED = rf"""with l as (select id as row_id, source_name, url, unnest(string_split(full_text_location, chr(10))) as line,
