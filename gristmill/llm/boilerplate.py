@@ -166,13 +166,13 @@ def features(line: Line) -> np.ndarray:
     """Hashed features of a line's text: words, pairs, the start, the shape and the whole line."""
     words = _WORD.findall(_DIGITS.sub("0", line.text.lower()))
     n = len(words)
-    shape = f"#{n if n < 6 else 10 if n < 12 else 20 if n < 24 else 40}{bool(_SENTENCE.search(line.text))}"
-    extra = [f"^{' '.join(words[:2])}", shape, f"{shape}{sum(w in '|·>/' for w in words) > 1}"]
+    shape = f"#{n if n < 6 else 10 if n < 12 else 20 if n < 24 else 40}{_SENTENCE.search(line.text) is not None}"
+    extra = [f"^{' '.join(words[:2])}", shape, f"{shape}{words.count('|') + words.count('·') + words.count('>') + words.count('/') > 1}"]
     if n <= 40:
         extra.append(f"={''.join(w for w in words if w[0].isalnum())}")
-    hashes = np.array([_hash(w) for w in words], dtype=np.int64)
-    pairs = (hashes[:-1] * 1_000_003 + hashes[1:] * 7919 + 1) % FEATURES
-    return np.concatenate((hashes, pairs, np.array([crc32(k.encode()) % FEATURES for k in extra], dtype=np.int64)))
+    hashes = np.array(list(map(_hash, words + extra)), dtype=np.int64)
+    pairs = (hashes[: n - 1] * 1_000_003 + hashes[1:n] * 7919 + 1) % FEATURES if n > 1 else hashes[:0]
+    return np.concatenate((hashes, pairs))
 
 
 def key_feature(line: Line) -> int:
@@ -192,10 +192,25 @@ class LineModel:
         self.weights = np.where(content + furniture > 0, rate, 0.0).astype(np.float32)
         often = (leads >= 3) & (led >= 1.5 * leads) & (furniture > 3 * content)
         self.leads = np.where(often, np.ceil(led / np.maximum(leads, 1)) + 1, 0).astype(np.int16)
+        self._seen: dict[str, float] = {}
+        self._leads: dict[str, int] = {}
 
     def score(self, line: Line) -> float:
-        at = self.weights[features(line)]
-        return float(np.clip(at.sum() / np.sqrt(len(at)), -9.0, 9.0))
+        if (found := self._seen.get(line.text)) is None:
+            at = self.weights[features(line)]
+            found = max(-9.0, min(9.0, float(at.sum()) / len(at) ** 0.5))
+            if len(line.text) < 200:  # furniture comes back, paragraphs do not
+                if len(self._seen) > 200_000:
+                    self._seen.clear()
+                self._seen[line.text] = found
+        return found
+
+    def lead(self, line: Line) -> int:
+        if (found := self._leads.get(line.text)) is None:
+            found = self._leads[line.text] = int(self.leads[key_feature(line)])
+            if len(self._leads) > 200_000:
+                self._leads.clear()
+        return found
 
     def scores(self, lines: list[Line]) -> np.ndarray:
         """Each line's score; single sentences that follow an announcing line are held for announced."""
@@ -205,7 +220,7 @@ class LineModel:
             short = len(line.text) <= SHORT_LINE
             if i and (line.box != lines[i - 1].box or line.no > lines[i - 1].no + 1):
                 left = 0
-            lead = int(self.leads[key_feature(line)]) if short and found[i] < 0 else 0
+            lead = self.lead(line) if short and found[i] < 0 else 0
             if lead:
                 left = lead
             elif left and len(_STOPS.findall(line.text)) <= 1:
@@ -312,8 +327,9 @@ def vote_paths(pages: DataFrame) -> DataFrame:
 
 def fit_model(pages: DataFrame) -> LineModel:
     """The line model from at most MODEL_PAGES pages, drawn by a hash; counted twice. pages: row_id, page, votes."""
-    drawn = pages.filter("votes is not null").orderBy(F.xxhash64("row_id"), "row_id").limit(MODEL_PAGES).select("page", "votes").repartition(12)
-    drawn = stage(drawn, "model-pages")
+    keys = pages.filter("votes is not null").select("row_id").orderBy(F.xxhash64("row_id"), "row_id").limit(MODEL_PAGES)
+    # MODEL_PAGES identifiers are broadcast; the pages themselves stay where they are read
+    drawn = stage(pages.join(F.broadcast(keys), "row_id", "left_semi").select("page", "votes"), "model-pages")
     model = None
     for _ in range(2):
         earlier = pages.sparkSession.sparkContext.broadcast(model)
