@@ -46,9 +46,9 @@ SHORT_LINE = 32
 #: Words of running text below which a container without the headline is no main container.
 MIN_WORDS = 25
 
-_SPACE = re.compile(r"\s+")
 _DIGITS = re.compile(r"\d+")
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?|<(/?)([A-Za-z][\w:-]*)([^<>]*)>|([^<]+|<)", re.S)
+_WHOLE = re.compile(r"\s*<([A-Za-z][A-Za-z0-9]*)\b[^<>/]*(?:/[^<>/]*)*>(?:([^<>]*)|<a\b[^<>]*>([^<>]*)</a>)</\1>\s*$", re.I)
 _CLASS = re.compile(r"""\b(?:class|role)\s*=\s*["']?([^"'>]*)""", re.I)
 _TITLE = re.compile(r"<title[^>]*>(.*?)</title>", re.I | re.S)
 _WORD = re.compile(r"[^\W_]+(?:['’][^\W_]+)*|[|·>/»•–—:…?!.,;\"“”©&-]")
@@ -75,7 +75,7 @@ class Line:
 
 
 def squeeze(text: str) -> str:
-    return _SPACE.sub(" ", text).strip()
+    return " ".join(text.split())
 
 
 def page_lines(source: str) -> tuple[list[Line], str]:
@@ -89,6 +89,14 @@ def page_lines(source: str) -> tuple[list[Line], str]:
             if end < 0:
                 continue
             raw, open_comment = raw[end + 3 :], False
+        if not hidden and (whole := _WHOLE.match(raw)):  # one element on its line, by far the most frequent line
+            tag, text, inner = whole.group(1).lower(), whole.group(2), whole.group(3)
+            if tag in _HIDDEN:
+                continue
+            if visible := squeeze(html.unescape(text if inner is None else inner)):
+                path = "/".join([f"{t}.{c}" if c else t for t, c, _ in stack])
+                found.append(Line(no, stack[-1][2] if stack else 0, path, visible, inner is not None or tag == "a" or any(t == "a" for t, _, _ in stack), tag))
+            continue
         depth, at_start = len(stack), [(t, c) for t, c, _ in stack]
         box = stack[-1][2] if stack else 0
         text, linked, leaf = [], 0, ""
