@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gristmill.llm import boilerplate, lines, reading
+from gristmill.llm import boilerplate, lines, names, reading
 from gristmill.session import table
 
 
@@ -20,6 +20,22 @@ def p1_host_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
     return boilerplate.host_paths(table(spark, sf_dir, "raw_documents"))
 
 
+def _name_tables(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    return [table(spark, sf_dir, name) for name in ("jobs", "startups", "openalex_works")]
+
+
+def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return names.linked_names(*_name_tables(spark, sf_dir))
+
+
+def p2_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return names.name_clusters(names.typed_names(*_name_tables(spark, sf_dir))).select("kind", "name", "n", "entity")
+
+
+def p2_collision_curve(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return names.band_report(spark)
+
+
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.repeated_lines(lines.news_docs(table(spark, sf_dir, "news")))
 
@@ -40,7 +56,7 @@ def p9_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reading.level_profile(table(spark, sf_dir, "documents"), table(spark, sf_dir, "reading_labels"))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_kept_lines, p1_host_paths, p6_found, p6_clean_texts, p6_blocks, p9_found, p9_profile)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_kept_lines, p1_host_paths, p2_found, p2_clusters, p2_collision_curve, p6_found, p6_clean_texts, p6_blocks, p9_found, p9_profile)}
 
 _SPACE = r"[\s\x{00a0}\x{1680}\x{2000}-\x{200b}\x{202f}\x{205f}\x{3000}\x{feff}]+"
 _KEYED = rf"""with l as (select id as row_id, source_name, url, unnest(string_split(full_text_location, chr(10))) as line,
