@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gristmill.llm import boilerplate, lines, names, reading
+from gristmill.llm import boilerplate, lines, matching, names, reading
 from gristmill.session import table
 
 
@@ -36,6 +36,22 @@ def p2_collision_curve(spark: SparkSession, sf_dir: str) -> DataFrame:
     return names.band_report(spark)
 
 
+def _firm_tables(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    return [table(spark, sf_dir, name) for name in ("startups", "parsed_records", "jobs")]
+
+
+def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return matching.matched_records(*_firm_tables(spark, sf_dir)).select("startup_id", "other_tbl", "other_id")
+
+
+def p5_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return matching.matched_records(*_firm_tables(spark, sf_dir))
+
+
+def p5_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return matching.rule_report(*_firm_tables(spark, sf_dir))
+
+
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.repeated_lines(lines.news_docs(table(spark, sf_dir, "news")))
 
@@ -56,7 +72,7 @@ def p9_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reading.level_profile(table(spark, sf_dir, "documents"), table(spark, sf_dir, "reading_labels"))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_kept_lines, p1_host_paths, p2_found, p2_clusters, p2_collision_curve, p6_found, p6_clean_texts, p6_blocks, p9_found, p9_profile)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_kept_lines, p1_host_paths, p2_found, p2_clusters, p2_collision_curve, p5_found, p5_matches, p5_rules, p6_found, p6_clean_texts, p6_blocks, p9_found, p9_profile)}
 
 _SPACE = r"[\s\x{00a0}\x{1680}\x{2000}-\x{200b}\x{202f}\x{205f}\x{3000}\x{feff}]+"
 _KEYED = rf"""with l as (select id as row_id, source_name, url, unnest(string_split(full_text_location, chr(10))) as line,
