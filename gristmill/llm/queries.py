@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gristmill.llm import boilerplate, lines, matching, names, packing, reading
+from gristmill.llm import boilerplate, lines, matching, mixing, names, packing, reading
 from gristmill.session import table
 
 
@@ -72,6 +72,14 @@ def p7_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packing_report(p7_packing(spark, sf_dir), table(spark, sf_dir, "pack_capacities"))
 
 
+def p8_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"), table(spark, sf_dir, "mix_targets"))[0]
+
+
+def p8_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"), table(spark, sf_dir, "mix_targets"))[1]
+
+
 def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reading.found_levels(table(spark, sf_dir, "documents"), table(spark, sf_dir, "reading_labels"))
 
@@ -80,7 +88,7 @@ def p9_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reading.level_profile(table(spark, sf_dir, "documents"), table(spark, sf_dir, "reading_labels"))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_kept_lines, p1_host_paths, p2_found, p2_clusters, p2_collision_curve, p5_found, p5_matches, p5_rules, p6_found, p6_clean_texts, p6_blocks, p7_packing, p7_report, p9_found, p9_profile)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_kept_lines, p1_host_paths, p2_found, p2_clusters, p2_collision_curve, p5_found, p5_matches, p5_rules, p6_found, p6_clean_texts, p6_blocks, p7_packing, p7_report, p8_mix, p8_shares, p9_found, p9_profile)}
 
 _SPACE = r"[\s\x{00a0}\x{1680}\x{2000}-\x{200b}\x{202f}\x{205f}\x{3000}\x{feff}]+"
 _KEYED = rf"""with l as (select id as row_id, source_name, url, unnest(string_split(full_text_location, chr(10))) as line,
