@@ -92,7 +92,7 @@ def with_names(profiles: DataFrame) -> DataFrame:
     """Adds form (an identifier of the name's form), core, and entity (the name's cluster of spellings)."""
     strings = profiles.filter(F.col("name").rlike(r"(?U)\S")).groupBy(F.lit("company").alias("kind"), "name").agg(F.sum("n").alias("n"))
     clusters = names.name_clusters(strings)
-    return profiles.join(clusters.select("name", "form", "entity"), "name", "left")
+    return profiles.join(clusters.select("name", "form", "entity").hint("merge"), "name", "left")
 
 
 def _place_batches(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -127,22 +127,23 @@ def resolve_profiles(named: DataFrame) -> tuple[DataFrame, DataFrame]:
     known = named.filter("tbl = 'startups' and firm is not null")
     others = named.filter("tbl <> 'startups'")
     open_rows = others
-    links = rules = None
+    links, rates = None, []
     for rule, keys, label in RULES:
         usable = lambda df, keys=keys: df.filter(" and ".join(f"{k} is not null" + (f" and {k} <> ''" if k == "place_key" else "") for k in keys))
         stated = usable(known).groupBy(*keys, "firm").agg(F.sum("n").alias("votes"), F.max_by(label, "n").alias("label"))
         ranked = stated.withColumn("r", F.row_number().over(Window.partitionBy(*keys).orderBy(F.desc("votes"), "firm"))).filter("r = 1").drop("r", "votes")
         ranked = ranked.withColumnRenamed("firm", "to_firm")
         # precision is counted over all records that the rule could decide, not only those that are still open
-        judged = usable(others).join(ranked, keys).filter("label is not null").select("n", "label", F.col(label).alias("own")).filter("own is not null")
+        judged = usable(others).join(ranked.hint("merge"), keys).filter("label is not null").select("n", "label", F.col(label).alias("own")).filter("own is not null")
         right, wrong = (F.coalesce(F.sum(F.when(c, F.col("n"))), F.lit(0)) for c in (F.col("label") == F.col("own"), F.col("label") != F.col("own")))
-        rate = judged.agg(right.alias("right"), wrong.alias("wrong")).select(
-            F.lit(rule).alias("rule"), "right", "wrong", ((F.col("right") + PRIOR_RIGHT) / (F.col("right") + F.col("wrong") + PRIOR_RIGHT + PRIOR_WRONG)).alias("confidence")
-        )
-        found = stage(usable(open_rows).join(ranked, keys).select("profile", F.col("to_firm").alias("firm"), F.lit(rule).alias("rule")), "rule-links")
+        count = judged.agg(right.alias("right"), wrong.alias("wrong")).first()  # one row
+        confidence = (count.right + PRIOR_RIGHT) / (count.right + count.wrong + PRIOR_RIGHT + PRIOR_WRONG)
+        rates.append((rule, int(count.right), int(count.wrong), confidence))
+        found = usable(open_rows).join(ranked.hint("merge"), keys).select("profile", F.col("to_firm").alias("firm"), F.lit(rule).alias("rule"), F.lit(confidence).alias("confidence"))
+        found = stage(found, "rule-links")
         links = found if links is None else links.unionByName(found)
-        rules = rate if rules is None else rules.unionByName(rate)
-        open_rows = open_rows.join(found.select("profile"), "profile", "left_anti")
+        open_rows = open_rows.join(found.select("profile").hint("merge"), "profile", "left_anti")
+    rules = named.sparkSession.createDataFrame(rates, "rule string, right bigint, wrong bigint, confidence double")
     return links, rules
 
 
@@ -160,15 +161,15 @@ def matched_records(startups: DataFrame, parsed: DataFrame, jobs: DataFrame) ->
     """(startup_id, other_tbl, other_id, rule, confidence) of each directory row and each record about the same firm."""
     tables = firm_tables(startups, parsed, jobs)
     named = prepared(tables)
-    links, rules = resolve_profiles(named)
+    links, _ = resolve_profiles(named)
     keyed = None
     for tbl, df in tables.items():
         key = F.xxhash64(F.lit(tbl), *[F.coalesce(F.col(c), F.lit("\0")) for c in ("name", "site", "place")])
         each = df.select("row_id", F.lit(tbl).alias("tbl"), key.alias("profile"))
         keyed = each if keyed is None else keyed.unionByName(each)
-    rows_of_firm = keyed.filter("tbl = 'startups'").join(named.filter("tbl = 'startups' and firm is not null").select("profile", "firm"), "profile").select(F.col("row_id").alias("startup_id"), "firm")
-    others = keyed.filter("tbl <> 'startups'").join(links, "profile").join(rules.select("rule", "confidence"), "rule")
-    return others.join(rows_of_firm, "firm").select("startup_id", F.col("tbl").alias("other_tbl"), F.col("row_id").alias("other_id"), "rule", "confidence")
+    rows_of_firm = keyed.filter("tbl = 'startups'").join(named.filter("tbl = 'startups' and firm is not null").select("profile", "firm").hint("merge"), "profile").select(F.col("row_id").alias("startup_id"), "firm")
+    others = keyed.filter("tbl <> 'startups'").join(links.hint("merge"), "profile")
+    return others.join(rows_of_firm.hint("merge"), "firm").select("startup_id", F.col("tbl").alias("other_tbl"), F.col("row_id").alias("other_id"), "rule", "confidence")
 
 
 def rule_report(startups: DataFrame, parsed: DataFrame, jobs: DataFrame) -> DataFrame:
