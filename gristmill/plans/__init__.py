@@ -1,8 +1,8 @@
 """The registered queries of the core and their SQL."""
 
-from gristmill.plans import nested
+from gristmill.plans import nested, pipelines
 
-MODULES = [nested]
+MODULES = [nested, pipelines]
 
 
 def queries() -> dict:
