@@ -1,8 +1,8 @@
 """The registered queries of the core and their SQL."""
 
-from gristmill.plans import nested, pipelines
+from gristmill.plans import nested, pipelines, reference
 
-MODULES = [nested, pipelines]
+MODULES = [nested, pipelines, reference]
 
 
 def queries() -> dict:

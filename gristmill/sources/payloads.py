@@ -6,6 +6,10 @@ Items without their required fields are left out; positions keep the first of re
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from xml.etree import ElementTree
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -15,7 +19,52 @@ from gristmill.functions.html import job_posting_of, main_text_of, publication_c
 from gristmill.functions.dates import strict_timestamp
 from gristmill.operators.dedup import first_wins
 
-NULL = F.lit(None).cast("string")
+def _null() -> Column:
+    return F.lit(None).cast("string")
+
+
+_ENTRY = "array<struct<id string, title string, link string, published string, description string, about string, authors array<string>>>"
+
+
+def _entries(source: str | None) -> list[dict] | None:
+    """Items of an RSS or Atom document in any namespace; None for one that does not parse."""
+    try:
+        root = ElementTree.fromstring((source or "").strip())
+    except ElementTree.ParseError:
+        return None
+    local = lambda e: e.tag.rpartition("}")[2] if isinstance(e.tag, str) else ""
+    found = []
+    for item in root.iter():
+        if local(item) not in ("item", "entry"):
+            continue
+        first: dict[str, str] = {}
+        for child in item:
+            text = "".join(child.itertext()).strip()
+            if local(child) == "link":
+                text = text or child.get("href", "")
+            if text:
+                first.setdefault(local(child), text)
+        names = ["".join(n.itertext()) for a in item if local(a) == "author" for n in a if local(n) == "name"]
+        found.append(
+            {
+                "id": first.get("id"),
+                "title": first.get("title"),
+                "link": first.get("link"),
+                "published": first.get("pubDate") or first.get("published"),
+                "description": first.get("description") or first.get("summary"),
+                "about": " ".join(filter(None, (first.get("summary"), first.get("comment")))),
+                "authors": names,
+            }
+        )
+    return found
+
+
+def xml_entries(text: Column) -> Column:
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for batch in batches:
+            yield pd.Series([_entries(t) for t in batch], dtype=object)
+
+    return F.pandas_udf(run, _ENTRY)(text)
 
 
 def _list(path: str) -> Column:
@@ -41,34 +90,21 @@ def broken(pages: DataFrame, container: str) -> DataFrame:
 
 
 def arxiv_papers(pages: DataFrame) -> DataFrame:
-    """Atom entries; xpath arrays are zipped per entry by position, so each field is read from its own entry."""
-    n = F.expr("xpath_int(text, 'count(/*[local-name()=\"feed\"]/*[local-name()=\"entry\"])')")
-    at = pages.filter(n > 0).select("source_name", "url", "ord", "text", F.explode(F.sequence(F.lit(1), n)).alias("pos"))
-    entry = "concat('/*[local-name()=\"feed\"]/*[local-name()=\"entry\"][', pos, ']"
-    one = lambda tag: F.expr(f"xpath_string(text, {entry}/*[local-name()=\"{tag}\"][1]'))")
-    fields = at.select(
-        "source_name",
-        "url",
-        "ord",
-        "pos",
-        tx.squash_spaces(one("title")).alias("title"),
-        F.trim(one("id")).alias("paper_url"),
-        one("published").alias("published"),
-        F.concat_ws(" ", one("summary"), one("comment")).alias("about"),
-        F.expr(f"xpath(text, {entry}/*[local-name()=\"author\"]/*[local-name()=\"name\"]/text()'))").alias("authors"),
-    )
-    return fields.filter(tx.non_blank(F.col("title")) & tx.non_blank(F.col("paper_url"))).select(
+    """Atom entries as papers; a repository counts only if the summary or comment names one."""
+    at = pages.select("source_name", "ord", F.posexplode(xml_entries(F.col("text"))).alias("pos", "e"))
+    rows = at.select(
         "source_name",
         "ord",
         "pos",
-        "title",
-        F.filter(F.transform("authors", tx.squash_spaces), lambda a: a != "").alias("authors"),
-        "paper_url",
-        urls.arxiv_id(F.col("paper_url")).alias("paper_external_id"),
-        urls.github_url_in(F.col("about")).alias("github_url"),
+        tx.squash_spaces(F.col("e.title")).alias("title"),
+        F.filter(F.transform("e.authors", tx.squash_spaces), lambda a: a != "").alias("authors"),
+        F.trim("e.id").alias("paper_url"),
+        urls.arxiv_id(F.col("e.id")).alias("paper_external_id"),
+        urls.github_url_in(F.col("e.about")).alias("github_url"),
         F.lit(None).cast("int").alias("github_stars"),
-        strict_timestamp(F.col("published")).alias("published_date"),
+        strict_timestamp(F.col("e.published")).alias("published_date"),
     )
+    return rows.filter(tx.non_blank(F.col("title")) & tx.non_blank(F.col("paper_url")))
 
 
 def author_names(authorships: Column) -> Column:
@@ -85,7 +121,7 @@ def openalex_papers(works: DataFrame) -> DataFrame:
         author_names(F.col("authorships")).alias("authors"),
         url.alias("paper_url"),
         urls.work_id(F.col("id")).alias("paper_external_id"),
-        NULL.alias("github_url"),
+        _null().alias("github_url"),
         F.lit(None).cast("int").alias("github_stars"),
         "publication_date",
     )
@@ -120,17 +156,17 @@ def listing_stories(pages: DataFrame, since: int | None = None, until: int | Non
 
 def feed_items(pages: DataFrame) -> DataFrame:
     """RSS items and Atom entries: link, title, published, description. An update time is no publication."""
-    item = "//*[local-name()=\"item\" or local-name()=\"entry\"]"
-    n = F.expr(f"xpath_int(text, 'count({item})')")
-    at = pages.withColumn("n", n).filter("n > 0").select("source_name", "ord", "text", F.explode(F.sequence(F.lit(1), F.col("n"))).alias("pos"))
-    one = lambda path: F.expr(f"xpath_string(text, concat('({item})[', pos, ']{path}'))")
-    link = F.coalesce(F.nullif(F.trim(one('/*[local-name()="link"][1]')), F.lit("")), F.nullif(one('/*[local-name()="link"][1]/@href'), F.lit("")))
-    published = F.coalesce(F.nullif(F.trim(one('/*[local-name()="pubDate"][1]')), F.lit("")), F.nullif(F.trim(one('/*[local-name()="published"][1]')), F.lit("")))
-    about = F.coalesce(F.nullif(one('/*[local-name()="description"][1]'), F.lit("")), F.nullif(one('/*[local-name()="summary"][1]'), F.lit("")))
-    rows = at.select("source_name", "ord", "pos", link.alias("link"), tx.squash_spaces(one('/*[local-name()="title"][1]')).alias("title"), published.alias("published"), about.alias("description"))
+    at = pages.select("source_name", "ord", F.posexplode(xml_entries(F.col("text"))).alias("pos", "e"))
+    rows = at.select("source_name", "ord", "pos", F.trim("e.link").alias("link"), tx.squash_spaces(F.col("e.title")).alias("title"), F.col("e.published").alias("published"), F.col("e.description").alias("description"))
     return rows.filter(tx.non_blank(F.col("title")) & urls.is_http_url(F.col("link")))
 
 
+def broken_feeds(pages: DataFrame) -> DataFrame:
+    """(source_name, url, error_category, message) of feeds that do not parse."""
+    bad = pages.filter(xml_entries(F.col("text")).isNull())
+    return bad.select("source_name", "url", F.lit("ParsingError").alias("error_category"), F.lit("invalid feed").alias("message"))
+
+
 def article_records(articles: DataFrame) -> DataFrame:
     """articles: source_name, link, title, feed_date, page. News records with their text and dated evidence."""
     rows = articles.withColumn("body", main_text_of(F.col("page"))).withColumn("found", publication_candidates_of(F.col("page")))
@@ -148,7 +184,7 @@ def article_records(articles: DataFrame) -> DataFrame:
 
 
 def _jobs(items: DataFrame, title: Column, company: Column, url: Column, posted: Column) -> DataFrame:
-    rows = items.select("source_name", "ord", "pos", F.trim(title).alias("title"), F.trim(company).alias("company"), F.trim(url).alias("url"), posted.alias("posted_at"), F.lit(True).alias("is_remote"), NULL.alias("role_family"))
+    rows = items.select("source_name", "ord", "pos", F.trim(title).alias("title"), F.trim(company).alias("company"), F.trim(url).alias("url"), posted.alias("posted_at"), F.lit(True).alias("is_remote"), _null().alias("role_family"))
     return rows.filter(tx.non_blank(F.col("title")) & tx.non_blank(F.col("company")) & tx.non_blank(F.col("url")))
 
 
