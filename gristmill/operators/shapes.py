@@ -87,7 +87,11 @@ class TreeAutomaton:
         if shape is None:
             return VOID
         if (state := self._seen.get(shape)) is None:
-            state = self._seen[shape] = self.run(read_shape(shape))
+            try:
+                state = self.run(read_shape(shape))
+            except (IndexError, ValueError, RecursionError):  # a shape beyond the grammar
+                state = OTHER
+            self._seen[shape] = state
             if len(self._seen) > 100_000:
                 self._seen.clear()
         return state
