@@ -146,20 +146,22 @@ def labelled_pieces(docs: DataFrame, labels: DataFrame, limit: int = FIT_DOCS) -
 def reading_levels(docs: DataFrame, cuts: tuple[float, ...] = DEFAULT_CUTS) -> DataFrame:
     """(doc_id, n_words, grade, level) of each document; n_words are split by white space."""
 
-    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def score(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             out = []
-            for doc_id, text in zip(batch["doc_id"], batch["text"], strict=True):
+            for text in batch:
                 counts = np.array(pieces(text or ""))
+                n = len((text or "").split())
                 if not len(counts):
-                    out.append((doc_id, len((text or "").split()), None, None))
+                    out.append((n, None, None))
                     continue
                 grade = grades(counts)
-                out.append((doc_id, len(text.split()), weighted_median(grade, counts[:, 0]), level_of(grade, counts[:, 0], cuts)))
-            frame = pd.DataFrame(out, columns=["doc_id", "n_words", "grade", "level"])
+                out.append((n, weighted_median(grade, counts[:, 0]), level_of(grade, counts[:, 0], cuts)))
+            frame = pd.DataFrame(out, columns=["n_words", "grade", "level"])
             yield frame.astype({"grade": "float64", "level": "Int32", "n_words": "int32"})
 
-    return docs.select("doc_id", "text").mapInPandas(score, "doc_id bigint, n_words int, grade double, level int")
+    read = F.pandas_udf(score, "n_words int, grade double, level int")
+    return docs.select("doc_id", read("text").alias("r")).select("doc_id", "r.n_words", F.when(~F.isnan("r.grade"), F.col("r.grade")).alias("grade"), "r.level")
 
 
 def found_levels(docs: DataFrame, labels: DataFrame, min_words: int = 20) -> DataFrame:
