@@ -28,13 +28,17 @@ def overwrite(rows: DataFrame, updates: DataFrame, key: str, columns: list[str])
     return joined.select(*[F.when(F.col("_hit"), F.col(f"_new_{c}")).otherwise(F.col(c)).alias(c) if c in columns else F.col(c) for c in rows.columns])
 
 
+def _without_keys_of(left, right):
+    return F.map_filter(left, lambda k, _: ~F.map_contains_key(right, k))
+
+
 def merged_metadata(*maps: str):
     """One map of several, later ones winning; null maps count as empty."""
     empty = F.expr("cast(map() as map<string,string>)")
     out = empty
     for m in maps:
         right = F.coalesce(F.col(m), empty)
-        out = F.map_concat(F.map_filter(out, lambda k, _, right=right: ~F.map_contains_key(right, k)), right)
+        out = F.map_concat(_without_keys_of(out, right), right)
     return out
 
 

@@ -178,7 +178,7 @@ def article_records(articles: DataFrame) -> DataFrame:
         "source_name",
         strict_timestamp(F.col("dated.value")).alias("published_at"),
         F.col("body.text").alias("full_text_location"),
-        F.col("body").isNull().alias("extraction_failed"),
+        F.col("body.text").isNull().alias("extraction_failed"),
         F.struct(F.col("feed_date").alias("rss_pubDate"), F.col("dated.field").alias("selected"), F.col("dated.value").alias("value")).alias("publication_date_candidates"),
     )
 
