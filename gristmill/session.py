@@ -62,6 +62,16 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def spread(scan: DataFrame) -> DataFrame:
+    """A scan of fewer partitions than the cluster has cores, dealt to all cores: for small files before costly work per row.
+
+    For plans without a shuffle only, as counting partitions would run one. A large table has partitions enough
+    and is left alone.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores)
+
+
 _shipped: set[str] = set()
 
 
