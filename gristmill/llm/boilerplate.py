@@ -30,7 +30,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gristmill.session import stage
+from gristmill.session import spread, stage
 
 #: Pages the line model is counted on, at most, and its number of hashed features.
 MODEL_PAGES, FEATURES = 8000, 1 << 18
@@ -51,7 +51,6 @@ _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?|<(/?)([A-Za-z][\w:-]*)([^<>
 _WHOLE = re.compile(r"\s*<([A-Za-z][A-Za-z0-9]*)\b[^<>/]*(?:/[^<>/]*)*>(?:([^<>]*)|<a\b[^<>]*>([^<>]*)</a>)</\1>\s*$", re.I)
 _CLASS = re.compile(r"""\b(?:class|role)\s*=\s*["']?([^"'>]*)""", re.I)
 _TITLE = re.compile(r"<title[^>]*>(.*?)</title>", re.I | re.S)
-_WORD = re.compile(r"[^\W_]+(?:['’][^\W_]+)*|[|·>/»•–—:…?!.,;\"“”©&-]")
 _SENTENCE = re.compile(r"[.!?…][\"'”’»)\]]*$")
 _STOPS = re.compile(r"[.!?…](?=[\s\x22'”’»]|$)")
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -172,21 +171,26 @@ def _hash(key: str) -> int:
 
 def features(line: Line) -> np.ndarray:
     """Hashed features of a line's text: words, pairs, the start, the shape and the whole line."""
-    words = _WORD.findall(_DIGITS.sub("0", line.text.lower()))
+    text = _DIGITS.sub("0", line.text.lower())
+    words = text.split()
     n = len(words)
     shape = f"#{n if n < 6 else 10 if n < 12 else 20 if n < 24 else 40}{_SENTENCE.search(line.text) is not None}"
-    extra = [f"^{' '.join(words[:2])}", shape, f"{shape}{words.count('|') + words.count('·') + words.count('>') + words.count('/') > 1}"]
+    extra = [f"^{' '.join(words[:2])}", shape, f"{shape}{text.count('|') + text.count('·') + text.count('>') + text.count('/') > 1}"]
     if n <= 40:
-        extra.append(f"={''.join(w for w in words if w[0].isalnum())}")
-    hashes = np.array(list(map(_hash, words + extra)), dtype=np.int64)
+        extra.append(_key(text))
+    hashes = np.array([_hash(w) for w in words + extra], dtype=np.int64)
     pairs = (hashes[: n - 1] * 1_000_003 + hashes[1:n] * 7919 + 1) % FEATURES if n > 1 else hashes[:0]
     return np.concatenate((hashes, pairs))
 
 
+def _key(text: str) -> str:
+    """A line as a whole: its letters and digits only."""
+    return f"={''.join(filter(str.isalnum, text))}"
+
+
 def key_feature(line: Line) -> int:
     """The hashed feature of a short line as a whole."""
-    words = _WORD.findall(_DIGITS.sub("0", line.text.lower()))
-    return crc32(f"={''.join(w for w in words if w[0].isalnum())}".encode()) % FEATURES
+    return _hash(_key(_DIGITS.sub("0", line.text.lower())))
 
 
 class LineModel:
@@ -390,7 +394,7 @@ def content_lines(pages: DataFrame, texts: DataFrame) -> DataFrame:
 def news_and_pages(news: DataFrame, raw: DataFrame) -> tuple[DataFrame, DataFrame]:
     pages = raw.select(F.col("id").alias("row_id"), host_of(F.col("source_url"), F.col("source_name")).alias("host"), F.col("raw_content_location").alias("page"))
     texts = news.select(F.col("id").alias("row_id"), host_of(F.col("url"), F.col("source_name")).alias("host"), "title", F.col("full_text_location").alias("page"))
-    return pages, texts
+    return spread(pages), spread(texts)
 
 
 def furniture_lines(news: DataFrame, raw: DataFrame) -> DataFrame:
