@@ -22,6 +22,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gristmill.session import spread
+
 #: Grades at which levels 2, 3 and 4 begin, by the raters' scale.
 GRADE_LEVELS = (6, 11, 16)
 #: Cut points on the formulas' scale where no labels are given.
@@ -161,7 +163,7 @@ def reading_levels(docs: DataFrame, cuts: tuple[float, ...] = DEFAULT_CUTS) -> D
             yield frame.astype({"grade": "float64", "level": "Int32", "n_words": "int32"})
 
     read = F.pandas_udf(score, "n_words int, grade double, level int")
-    return docs.select("doc_id", read("text").alias("r")).select("doc_id", "r.n_words", F.when(~F.isnan("r.grade"), F.col("r.grade")).alias("grade"), "r.level")
+    return spread(docs.select("doc_id", "text")).select("doc_id", read("text").alias("r")).select("doc_id", "r.n_words", F.when(~F.isnan("r.grade"), F.col("r.grade")).alias("grade"), "r.level")
 
 
 def found_levels(docs: DataFrame, labels: DataFrame, min_words: int = 20) -> DataFrame:
