@@ -123,13 +123,13 @@ def idempotent_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
     return first.agg(F.lit(1).alias("run"), F.count("*").alias("inserted")).unionByName(second.agg(F.lit(2).alias("run"), F.count("*").alias("inserted")))
 
 
-@query("""with u as (select doc_id, source, text, sha256(coalesce(text, '')) as url_key, nullif(lower(trim(substr(text, 1, 40))), '') as dedup_key from documents),
+@query("""with u as (select doc_id, coalesce(url, 'doc:' || doc_id) as url_key, nullif(lower(trim(text)), '') as dedup_key from documents),
 a as (select *, row_number() over (partition by url_key order by doc_id) as r1 from u),
 b as (select *, row_number() over (partition by dedup_key order by doc_id) as r2 from a where r1 = 1 and dedup_key is not null)
 select a.doc_id, case when a.r1 > 1 then 'duplicate_url' when a.dedup_key is null or b.r2 = 1 then 'kept' else 'duplicate_key' end as outcome from a left join b using (doc_id)""")
 def two_key_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    key = F.nullif(F.lower(F.trim(F.substring("text", 1, 40))), F.lit(""))
-    rows = table(spark, sf_dir, "documents").select("doc_id", F.sha2(F.coalesce("text", F.lit("")), 256).alias("url_key"), key.alias("dedup_key"))
+    key = F.nullif(F.lower(F.trim("text")), F.lit(""))
+    rows = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("url", F.concat(F.lit("doc:"), "doc_id")).alias("url_key"), key.alias("dedup_key"))
     return dedup.two_key_dedup(rows, "url_key", "dedup_key", ["doc_id"]).select("doc_id", "outcome")
 
 
