@@ -51,6 +51,17 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/gristmill/{name}-{uuid.uuid4().hex}"
 
 
+_staged: dict[str, list[str]] = {}
+
+
+def drop_staged(spark: SparkSession) -> None:
+    """Removes the session's staged tables. Only once every result that reads them has been written."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for path in _staged.pop(spark.sparkContext.applicationId, []):
+        target = jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(conf).delete(target, True)
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Writes ``df`` as parquet in the shared folder and reads it back.
 
@@ -59,6 +70,7 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     """
     path = new_path(df.sparkSession, name)
     df.write.parquet(path)
+    _staged.setdefault(df.sparkSession.sparkContext.applicationId, []).append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -81,9 +93,10 @@ def ship_package(spark: SparkSession) -> None:
     if app in _shipped:
         return
     _shipped.add(app)
-    package = Path(__file__).resolve().parent
-    base = Path(tempfile.mkdtemp()) / package.name  # the driver serves this file to the executors
-    spark.sparkContext.addPyFile(shutil.make_archive(str(base), "zip", package.parent, package.name))
+    package, shared = Path(__file__).resolve().parent, new_path(spark, "package")
+    folder = Path(shared.removeprefix("file://").removeprefix("file:")) if "://" not in shared.removeprefix("file://") else Path(tempfile.mkdtemp())
+    folder.mkdir(parents=True, exist_ok=True)  # the driver serves the archive to the executors, wherever it lies
+    spark.sparkContext.addPyFile(shutil.make_archive(str(folder / package.name), "zip", package.parent, package.name))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
