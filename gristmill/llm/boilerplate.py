@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -43,6 +44,8 @@ WIN_RATIO = 0.7
 DROP, RELABEL = -1.2, -0.4
 #: Characters of a line that may announce a list of lines below it.
 SHORT_LINE = 32
+#: Elements of a path, at most; what is nested deeper shares its path.
+MAX_DEPTH = 40
 #: Words of running text below which a container without the headline is no main container.
 MIN_WORDS = 25
 
@@ -56,6 +59,11 @@ _STOPS = re.compile(r"[.!?…](?=[\s\x22'”’»]|$)")
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _HIDDEN = frozenset("head script style noscript template svg title".split())
 _PART = frozenset("nav footer aside button form".split())
+# Elements of a head; elements that end an open paragraph; by open element, those that end it.
+_HEAD = frozenset("title meta link script style base noscript template head html".split())
+_BLOCKS = frozenset("p div section article main header footer aside nav table ul ol dl h1 h2 h3 h4 h5 h6 form pre blockquote hr fieldset figure address".split())
+_CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "td": {"td", "th", "tr"}, "th": {"td", "th", "tr"}, "tr": {"tr"}, "option": {"option"}}
+_OUTSIDE = ("", "", 0, False)
 # Words of class names and tags that mark page furniture, and that mark the article.
 _FURNITURE = re.compile(r"nav|menu|foot|side|aside|promo|share|social|consent|cookie|banner|related|comment|subscribe|newsletter|crumb|header|toolbar", re.I)
 _ARTICLE = re.compile(r"article|story|content|main|post|entry|text|body", re.I)
@@ -77,11 +85,21 @@ def squeeze(text: str) -> str:
     return " ".join(text.split())
 
 
+def _implied(tag: str, open_tag: str) -> bool:
+    """Whether an open element ends where this tag opens, as its end tag may be left out."""
+    if open_tag == "head":
+        return tag not in _HEAD
+    if open_tag == "p":
+        return tag in _BLOCKS
+    return tag in _CLOSES.get(open_tag, ())
+
+
 def page_lines(source: str) -> tuple[list[Line], str]:
-    """Lines with visible body text and the page's title."""
-    found, stack, hidden, boxes = [], [], 0, 0
+    """Lines with visible body text and the page's title. Paths grow no further than MAX_DEPTH elements."""
+    found: list[Line] = []
+    stack: list[tuple[str, str, int, bool]] = []  # tag, path, number, whether within a link
+    hidden, boxes, open_comment = 0, 0, False
     title = _TITLE.search(source)
-    open_comment = False
     for no, raw in enumerate(source.split("\n")):
         if open_comment:
             end = raw.find("-->")
@@ -92,22 +110,24 @@ def page_lines(source: str) -> tuple[list[Line], str]:
             tag, text, inner = whole.group(1).lower(), whole.group(2), whole.group(3)
             if tag in _HIDDEN:
                 continue
+            while stack and _implied(tag, stack[-1][0]):
+                stack.pop()
             if visible := squeeze(html.unescape(text if inner is None else inner)):
-                path = "/".join([f"{t}.{c}" if c else t for t, c, _ in stack])
-                found.append(Line(no, stack[-1][2] if stack else 0, path, visible, inner is not None or tag == "a" or any(t == "a" for t, _, _ in stack), tag))
+                _, path, box, in_link = stack[-1] if stack else _OUTSIDE
+                found.append(Line(no, box, path, visible, inner is not None or tag == "a" or in_link, tag))
             continue
-        depth, at_start = len(stack), [(t, c) for t, c, _ in stack]
-        box = stack[-1][2] if stack else 0
+        depth = len(stack)
+        _, path, box, _ = stack[-1] if stack else _OUTSIDE
         text, linked, leaf = [], 0, ""
         for hit in _TOKEN.finditer(raw):
             close, tag, attrs, chars = hit.groups()
             if chars is not None:
                 if not hidden:
                     text.append(chars)
-                    if chars.strip():
+                    if not chars.isspace():
                         if not leaf and len(stack) > depth:
                             leaf = stack[-1][0]
-                        linked += len(chars) if any(t == "a" for t, _, _ in stack) else 0
+                        linked += len(chars) if stack and stack[-1][3] else 0
                 continue
             if tag is None:
                 open_comment = hit.group().startswith("<!--") and not hit.group().endswith("-->")
@@ -118,21 +138,26 @@ def page_lines(source: str) -> tuple[list[Line], str]:
             if close:
                 for i in range(len(stack) - 1, -1, -1):
                     if stack[i][0] == tag:
-                        for gone, _, _ in stack[i:]:
-                            hidden -= gone in _HIDDEN
+                        hidden -= sum(gone[0] in _HIDDEN for gone in stack[i:])
                         del stack[i:]
                         break
-            else:
-                boxes += 1
-                label = _CLASS.search(attrs)
-                stack.append((tag, re.sub(r"\d+", "0", label.group(1).strip().lower()) if label else "", boxes))
-                hidden += tag in _HIDDEN
-                if len(stack) > depth and tag in _PART:
-                    leaf = tag
-        visible = squeeze(html.unescape("".join(text)))
-        if visible:
-            path = "/".join(f"{t}.{c}" if c else t for t, c in at_start)
-            found.append(Line(no, box, path, visible, linked > 0.8 * sum(len(x) for x in text if x.strip()), leaf))
+            while not close and stack and _implied(tag, stack[-1][0]):
+                hidden -= stack.pop()[0] in _HIDDEN
+            if len(stack) < depth and not linked and not any(map(str.strip, text)):  # what ends before any text does not hold the line
+                depth = len(stack)
+                _, path, box, _ = stack[-1] if stack else _OUTSIDE
+            if close:
+                continue
+            boxes += 1
+            label = _CLASS.search(attrs)
+            name = f"{tag}.{_DIGITS.sub('0', label.group(1).strip().lower())}" if label else tag
+            above, in_link = (stack[-1][1], stack[-1][3]) if stack else ("", False)
+            stack.append((tag, f"{above}/{name}" if above and len(stack) < MAX_DEPTH else above or name, boxes, in_link or tag == "a"))
+            hidden += tag in _HIDDEN
+            if len(stack) > depth and tag in _PART:
+                leaf = tag
+        if visible := squeeze(html.unescape("".join(text))):
+            found.append(Line(no, box, path, visible, linked > 0.8 * sum(len(x) for x in text if not x.isspace()), leaf))
     return found, squeeze(html.unescape(title.group(1))) if title else ""
 
 
@@ -290,11 +315,11 @@ def judge(lines: list[Line], title: str, votes: dict[str, float], model: LineMod
         for i, line in enumerate(lines):
             boxes.setdefault(line.box, []).append(i)
         good = np.zeros(len(lines), bool)
+        alike = Counter(lines[at[0]].path for at in boxes.values())
         for at in boxes.values():
             path = lines[at[0]].path
-            alike = sum(lines[o[0]].path == path for o in boxes.values())
             vote = votes.get(path)
-            prior = 0.0 if vote is None or alike > 1 else 4.0 if vote >= WIN_RATIO else -4.0 if vote <= 0.1 else 0.0
+            prior = 0.0 if vote is None or alike[path] > 1 else 4.0 if vote >= WIN_RATIO else -4.0 if vote <= 0.1 else 0.0
             words = np.array([1 + len(lines[i].text.split()) ** 0.5 for i in at])
             mean = float((np.clip(scores[at], -4, 4) * words).sum() / words.sum())
             big = head[at].any() or sum(running_words(lines[i]) for i in at) >= MIN_WORDS

@@ -32,10 +32,6 @@ def p2_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return names.name_clusters(names.typed_names(*_name_tables(spark, sf_dir))).select("kind", "name", "n", "entity")
 
 
-def p2_collision_curve(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return names.band_report(spark)
-
-
 def _firm_tables(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
     return [table(spark, sf_dir, name) for name in ("startups", "parsed_records", "jobs")]
 
@@ -88,7 +84,7 @@ def p9_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reading.level_profile(table(spark, sf_dir, "documents"), table(spark, sf_dir, "reading_labels"))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_kept_lines, p1_host_paths, p2_found, p2_clusters, p2_collision_curve, p5_found, p5_matches, p5_rules, p6_found, p6_clean_texts, p6_blocks, p7_packing, p7_report, p8_mix, p8_shares, p9_found, p9_profile)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_kept_lines, p1_host_paths, p2_found, p2_clusters, p5_found, p5_matches, p5_rules, p6_found, p6_clean_texts, p6_blocks, p7_packing, p7_report, p8_mix, p8_shares, p9_found, p9_profile)}
 
 _SPACE = r"[\s\x{00a0}\x{1680}\x{2000}-\x{200b}\x{202f}\x{205f}\x{3000}\x{feff}]+"
 _KEYED = rf"""with l as (select id as row_id, source_name, url, unnest(string_split(full_text_location, chr(10))) as line,

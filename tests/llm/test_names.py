@@ -69,6 +69,13 @@ def test_star_clusters(spark):
     assert names.star_clusters(forms, edges.limit(0)).count() == 6
 
 
+def test_star_clusters_with_equal_ranks(spark):
+    forms = spark.createDataFrame([(i, 0.0) for i in range(30)], "form bigint, rank double")
+    edges = spark.createDataFrame([(i, i + 1, 0.9) for i in range(29)], "a bigint, b bigint, similarity double")
+    got = {r.form: r.centre for r in names.star_clusters(forms, edges).collect()}
+    assert len(got) == 30 and all(abs(f - c) <= 1 for f, c in got.items()) and got[0] == got[1] == 0
+
+
 JOBS = "id string, company string, metadata_json map<string,string>, form string, entity string"
 STARTUPS = "id string, entity_name string, website string, location string, profile string"
 PARSED = "id string, record_type string, data string, site string"

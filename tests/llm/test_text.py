@@ -37,6 +37,13 @@ def test_page_lines():
     assert bp.page_lines("")[0] == [] and bp.page_lines("<p>" * 3000 + "x")[0][0].text == "x"
 
 
+def test_end_tags_that_are_left_out():
+    page = "<html><head><title>T</title>\n<body>\n<ul>\n<li>a\n<li>b\n</ul>\n<p>x\n<p>y\n<div>z</div>\n</body> tail"
+    assert [(line.path, line.text) for line in bp.page_lines(page)[0]] == [("html/body/ul", "a"), ("html/body/ul", "b"), ("html/body", "x"), ("html/body", "y"), ("html/body", "z"), ("html", "tail")]
+    deep = bp.page_lines("<div>\nx\n" * 5000)[0]
+    assert len(deep) == 5000 and len(deep[-1].path) < 200
+
+
 def test_furniture_of_pages_and_texts(spark):
     pages = site(40)
     raw = spark.createDataFrame([(f"r{i}", f"https://h.example/{i}", "s", html_page(*p), "clash") for i, p in enumerate(pages)] + [("null", None, None, None, None), ("blank", "https://h.example/b", "s", " \n ", None)], RAW)
