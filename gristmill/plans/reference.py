@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from gristmill.functions import dates, html, http, urls
 from gristmill.functions import text as tx
 from gristmill.operators import allocate, chunks, dedup, enrich, metrics, provenance, requests, resolve, shapes, validate
+from gristmill.plans import pipelines
 from gristmill.session import new_path, table
 from gristmill.sources import payloads, registry
 from gristmill.streaming import fresh
@@ -482,3 +483,29 @@ def atom_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
     xml = F.concat(F.lit("<feed xmlns='http://www.w3.org/2005/Atom'><entry><id>"), F.col("id"), F.lit("</id><title>"), safe, F.lit("</title><author><name>A  B</name></author></entry></feed>"))
     pages = table(spark, sf_dir, "openalex_works").select(F.col("id").alias("source_name"), F.lit("").alias("url"), F.lit(0).alias("ord"), xml.alias("text"))
     return payloads.arxiv_papers(pages).select(F.col("source_name").alias("id"), "title", "paper_url")
+
+
+# --- SQL of pipelines that are registered elsewhere -------------------------------------------
+
+ORACLES["pipeline_urls"] = f"""select id, source_name, {_NORMAL} as normalized_url,
+  row_number() over (partition by {_NORMAL} order by retrieved_at, id) = 1 as is_first from raw_documents"""
+
+ORACLES["pipeline_jobs"] = f"""{pipelines.JOBS_SQL}, k as (select *, {_KEY.format('company')} as key from routed)
+select id, source_name, status, moment as posted_at, case when status in ('inserted', 'duplicate') and length(key) >= 2 then key end as entity_key from k"""
+
+ORACLES["pipeline_products"] = f"""with p as (select id, source_url, ord, trim(data->>'$.product_name') as product_name, trim(data->>'$.startup_name') as startup_name,
+    lower(trim(data->>'$.product_name')) as dedup_key from parsed_records where record_type = 'product' and json_valid(data)),
+v as (select *, {_NON_BLANK.format('startup_name')} and {_HTTP.format('source_url')} as ok from p),
+a as (select *, row_number() over (partition by source_url order by ord, id) as r1 from v where ok),
+b as (select id, row_number() over (partition by dedup_key order by ord, id) as r2 from a where r1 = 1 and dedup_key is not null)
+select v.id, v.startup_name, v.product_name, case when not v.ok then 'invalid' when a.r1 > 1 then 'duplicate_url'
+  when a.dedup_key is null or b.r2 = 1 then 'kept' else 'duplicate_key' end as outcome from v left join a using (id) left join b using (id)"""
+
+ORACLES["pipeline_startups"] = rf"""with b as (select page_id, body::json j from api_pages where source_name = 'yc_directory' and json_valid(body)),
+h as (select page_id, unnest(hits) hit, unnest(range(len(hits))) pos1 from (select page_id, case when json_type(j, '$.hits') = 'ARRAY' then json_extract(j, '$.hits[*]')
+    when json_type(j, '$.results') = 'ARRAY' then json_extract(j, '$.results[*].hits[*]') else [] end hits from b)),
+r as (select page_id, pos1::int as pos1, {_SQUASH.format("hit->>'$.name'")} as entity_name, regexp_replace(trim(hit->>'$.slug'), '^/+|/+$', '', 'g') as slug,
+  case when json_type(hit, '$.team_size') in ('BIGINT', 'UBIGINT') and (hit->>'$.team_size')::bigint >= 0 then (hit->>'$.team_size')::int
+    when json_type(hit, '$.team_size') = 'VARCHAR' and regexp_full_match(trim(hit->>'$.team_size'), '\d{{1,10}}') then try_cast(trim(hit->>'$.team_size') as int) end as employee_count from h)
+select page_id, pos1, entity_name, 'https://yc.example/companies/' || slug as source_url, employee_count from (
+  select *, row_number() over (partition by slug order by page_id, pos1) as rn from r where entity_name <> '' and slug <> '' and not contains(slug, '/')) where rn = 1"""
