@@ -134,7 +134,10 @@ def fit_cuts(docs: list[tuple[list, float]]) -> tuple[float, ...]:
 def labelled_pieces(docs: DataFrame, labels: DataFrame, limit: int = FIT_DOCS) -> list[tuple[list, float]]:
     """(pieces, mean grade) of at most ``limit`` labelled English documents, drawn by a hash of their ids."""
     mean = labels.filter("grade is not null").groupBy("doc_id").agg(F.avg("grade").alias("grade"))
-    drawn = mean.join(docs.filter("lang = 'en' and text is not null").select("doc_id", "text"), "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit)
+    english = docs.filter("lang = 'en' and text is not null").select("doc_id", "text")
+    drawn = mean.join(english.select("doc_id"), "doc_id", "left_semi").orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit)
+    # at most ``limit`` identifiers are broadcast; the texts stay where they are read
+    drawn = english.join(F.broadcast(drawn), "doc_id")
 
     def facts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -162,7 +165,8 @@ def reading_levels(docs: DataFrame, cuts: tuple[float, ...] = DEFAULT_CUTS) -> D
             frame = pd.DataFrame(out, columns=["n_words", "grade", "level"])
             yield frame.astype({"grade": "float64", "level": "Int32", "n_words": "int32"})
 
-    read = F.pandas_udf(score, "n_words int, grade double, level int")
+    # marked so that a filter on its result is not pushed below it and makes it run twice
+    read = F.pandas_udf(score, "n_words int, grade double, level int").asNondeterministic()
     return spread(docs.select("doc_id", "text")).select("doc_id", read("text").alias("r")).select("doc_id", "r.n_words", F.when(~F.isnan("r.grade"), F.col("r.grade")).alias("grade"), "r.level")
 
 
