@@ -75,7 +75,7 @@ def similar_keys(keys: DataFrame, floor: float = REVIEW) -> DataFrame:
     signed = stage(keys.select("key").mapInPandas(sign, "key string, own array<bigint>, probes array<bigint>"), "key-signatures")
     short = signed.select(F.col("key").alias("other"), F.explode("own").alias("sig"))
     long = signed.select("key", F.explode("probes").alias("sig"))
-    met = long.join(short, "sig").filter("key <> other").select("key", "other").distinct()
+    met = long.join(short.hint("merge"), "sig").filter("key <> other").select("key", "other").distinct()
 
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
