@@ -118,7 +118,7 @@ def firm_of_rows(named: DataFrame) -> DataFrame:
     """
     votes = named.filter("site is not null and entity is not null").groupBy("site", "entity").agg(F.sum("n").alias("votes"))
     best = votes.groupBy("site").agg(F.max_by("entity", F.struct("votes", -F.col("entity"))).alias("site_firm"))
-    return named.join(best, "site", "left").withColumn("firm", F.coalesce("site_firm", "entity")).drop("site_firm")
+    return named.join(best.hint("merge"), "site", "left").withColumn("firm", F.coalesce("site_firm", "entity")).drop("site_firm")
 
 
 def resolve_profiles(named: DataFrame) -> tuple[DataFrame, DataFrame]:
