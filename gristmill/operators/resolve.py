@@ -27,12 +27,16 @@ LINK, REVIEW, ALIAS_CONFIDENCE = 92.0, 85.0, 0.99
 
 
 def common_subsequence(a: str, b: str) -> int:
-    row = [0] * (len(b) + 1)
-    for x in a:
-        last = 0
-        for j, y in enumerate(b, 1):
-            last, row[j] = row[j], last + 1 if x == y else max(row[j], row[j - 1])
-    return row[-1]
+    """Length of the longest common subsequence; a row of its table is one integer (bit-parallel, Hyyrö)."""
+    at: dict[str, int] = {}
+    for i, x in enumerate(a):
+        at[x] = at.get(x, 0) | 1 << i
+    full = (1 << len(a)) - 1
+    row = full
+    for y in b:
+        met = row & at.get(y, 0)
+        row = (row + met | row - met) & full
+    return len(a) - row.bit_count()
 
 
 def token_sort_ratio(a: str, b: str) -> float:

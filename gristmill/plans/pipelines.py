@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gristmill.functions import dates
 from gristmill.functions.text import normalize_entity_name, usable_name
 from gristmill.functions.urls import normalize_url
-from gristmill.operators import allocate, dedup, metrics, shapes, validate
+from gristmill.operators import allocate, dedup, metrics, resolve, shapes, validate
 from gristmill.session import stage, table
 from gristmill.sources import payloads, registry
 
@@ -80,6 +80,34 @@ def pipeline_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     return outcome.unionByName(checked.filter(F.size("errors") > 0).select("id", "startup_name", "product_name", F.lit("invalid").alias("outcome")))
 
 
+def company_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """vertical, id, raw_name, ord of the company names that reach a resolver: startups and products that are kept, jobs that
+    pass the gates. ``ord`` follows the runs: startups, products, jobs, each in its own order."""
+    def order(run: int, when: str = "null", number: str = "null", text: str = "null", position: str = "null") -> Column:
+        return F.expr(f"struct({run} as run, cast({when} as timestamp) as t, cast({number} as bigint) as n, cast({text} as string) as s, cast({position} as bigint) as p)").alias("at")
+
+    name = lambda vertical, row_id, raw: [F.lit(vertical).alias("vertical"), F.col(row_id).alias("id"), F.col(raw).alias("raw_name")]
+    startups = pipeline_startups(spark, sf_dir).select(*name("startups", "source_url", "entity_name"), order(0, text="page_id", position="pos1"))
+    kept = pipeline_products(spark, sf_dir).filter("outcome = 'kept'").join(table(spark, sf_dir, "parsed_records").select("id", "ord"), "id")
+    products = kept.select(*name("products", "id", "startup_name"), order(1, number="ord", text="id"))
+    passed = route_jobs(table(spark, sf_dir, "jobs")).filter("status in ('inserted', 'duplicate')")
+    jobs = passed.select(*name("jobs", "id", "company"), order(2, when="collected_at", text="id"))
+    every = startups.unionByName(products).unionByName(jobs)
+    return stage(every.orderBy("at").select("vertical", "id", "raw_name", F.monotonically_increasing_id().alias("ord")), "company-names")
+
+
+def pipeline_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mapping log of the three pipelines that name companies, over one index as in the reference's database."""
+    names = company_names(spark, sf_dir)
+    log = resolve.resolve(names.select("raw_name", "ord")).drop("raw_name")
+    return names.join(log, "ord").select("vertical", "id", "raw_name", "normalized_name", "canonical_id", "method", "confidence", "review_candidate")
+
+
+def pipeline_entity_methods(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(vertical, method, n): how each pipeline's names were settled."""
+    return pipeline_entities(spark, sf_dir).groupBy("vertical", "method").agg(F.count("*").alias("n"))
+
+
 def pipeline_research(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Works as papers, each address once over all sources, the earliest retrieved first."""
     works = table(spark, sf_dir, "openalex_works")
@@ -104,7 +132,7 @@ def pipeline_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (pipeline_news, pipeline_news_metrics, pipeline_jobs, pipeline_jobs_metrics, pipeline_startups, pipeline_products, pipeline_research, fill_forward_documents, pipeline_urls)
+    for f in (pipeline_news, pipeline_news_metrics, pipeline_jobs, pipeline_jobs_metrics, pipeline_startups, pipeline_products, pipeline_entities, pipeline_entity_methods, pipeline_research, fill_forward_documents, pipeline_urls)
 }
 __all__ = ["QUERIES", "ORACLES", "stage"]
 
