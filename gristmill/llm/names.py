@@ -3,7 +3,8 @@
 Distinct strings are read into forms: a core (the distinctive part of a firm's name, a
 person's surname), the common words beside it (what a firm does, given names and initials),
 without legal suffixes, titles, case and accents. Cores with similar padded q-grams meet in
-MinHash bands, whose number follows from the collision curve and the recall asked for.
+MinHash bands, whose number follows from the collision curve and the recall asked for; what
+the bands miss of what the verifier accepts meets in a shared deletion neighbour, without loss.
 Pairs of forms are verified by Monge-Elkan similarity, whose token similarity knows typing
 errors, abbreviations, initials and nicknames, and clustered by star clustering: the most
 complete and most frequent form of a neighbourhood is its centre, and takes the forms that
@@ -27,6 +28,7 @@ from zlib import crc32
 
 import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,6 +36,8 @@ from gristmill.session import stage
 
 Q, ROWS, MIN_JACCARD, RECALL = 2, 3, 0.35, 0.9
 MIN_SIMILARITY = 0.84
+#: Letters of a core whose deletions are its neighbours.
+PREFIX = 16
 #: A word is common if at least this many and this share of a kind's strings have it.
 COMMON_COUNT, COMMON_SHARE = 40, 0.004
 
@@ -310,9 +314,30 @@ def _band_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame({"kind": np.repeat(batch["kind"].to_numpy(), bands), "core": np.repeat(batch["core"].to_numpy(), bands), "bucket": keys.astype(np.int64).ravel()})
 
 
+def deletion_neighbours(core: str) -> set[str]:
+    """What is left of a core's first PREFIX letters without as many of them as it may have typing errors, or fewer.
+
+    Two cores that ``allowed`` lets pass have one in common: what they share after their errors is left of both, a swap
+    costing each a letter; where one prefix lost more letters than the other, the other can also do without its last ones.
+    """
+    found = last = {core[:PREFIX]}
+    for _ in range(allowed(core, core)):
+        last = {t[:i] + t[i + 1 :] for t in last for i in range(len(t))}
+        found = found | last
+    return found
+
+
+def _neighbour_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for batch in batches:
+        rows = [(kind, core, xxhash.xxh64_intdigest(t.encode()) - (1 << 63)) for kind, core in zip(batch["kind"], batch["core"], strict=True) for t in deletion_neighbours(core)]
+        yield pd.DataFrame(rows, columns=["kind", "core", "bucket"]).astype({"bucket": "int64"})
+
+
 def candidate_cores(cores: DataFrame) -> DataFrame:
-    """(kind, core_a, core_b) of cores that meet in a band and are at most three edits apart; each with itself too."""
-    banded = cores.mapInPandas(_band_batches, "kind string, core string, bucket bigint")
+    """(kind, core_a, core_b) of cores that meet in a band or share a deletion neighbour and are at most four edits
+    apart, a swap being two; each with itself too. The bands' misses are all found by the neighbours."""
+    schema = "kind string, core string, bucket bigint"
+    banded = cores.mapInPandas(_band_batches, schema).unionByName(cores.mapInPandas(_neighbour_batches, schema))
     a, b = banded.withColumnRenamed("core", "core_a"), banded.withColumnRenamed("core", "core_b")
     close = F.levenshtein("core_a", "core_b", 4)
     # merge joins: the optimizer takes what Python made of a small table for small, and would broadcast it unchecked
