@@ -5,8 +5,9 @@ with an end mark after each document. Its suffix array is the global sort of all
 range-partitioned over (source, first ``DEPTH`` identifiers, url), so that no source and no
 line is one task's work: a hot line's suffixes are told apart by what follows and by url.
 Neighbours' common prefixes give the repeated blocks of 1 to ``DEPTH`` lines, counted in
-partial intervals that are summed; a longer block is the overlap of its windows. Blocks in
-enough documents are then checked exactly by different urls.
+partial intervals that are summed. Blocks in enough documents are then checked exactly by
+different urls. Longer blocks lie in runs of repeated lines; their lengths are counted in
+rounds, each up to twice the length before, from where the last round's longest block stands.
 
 Cases: null or blank texts and rows without a source have no lines; rows without a url keep
 their lines but count as no document; lines without letters and digits never count; ties and
@@ -21,7 +22,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gristmill.session import spread, stage
@@ -124,8 +125,11 @@ def repeated_blocks(suffix_rows: DataFrame, candidates: DataFrame, docs: DataFra
         parts = counted if parts is None else parts.unionByName(counted)
     if parts is None:
         return candidates.withColumn("n_urls", F.col("n")).drop("n")
-    enough = (F.col("n_urls") >= MIN_URLS) & (F.col("n_urls") * 100 >= F.col("total") * MIN_SHARE_PERCENT)
-    return parts.join(totals, "s").filter(enough).drop("total")
+    return parts.join(totals, "s").filter(_enough()).drop("total")
+
+
+def _enough() -> Column:
+    return (F.col("n_urls") >= MIN_URLS) & (F.col("n_urls") * 100 >= F.col("total") * MIN_SHARE_PERCENT)
 
 
 def block_lines(blocks: DataFrame) -> DataFrame:
@@ -137,6 +141,38 @@ def block_lines(blocks: DataFrame) -> DataFrame:
     return blocks.select("s", F.explode(F.array(*_WORDS)).alias("id")).filter("id <> 0").groupBy("s").agg(F.collect_set("id").alias("repeated"))
 
 
+def _run_suffixes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """From each line of a run of repeated lines to the run's end, if that is more than DEPTH lines; 0 is another line."""
+    for batch in batches:
+        rows = []
+        for s, u, ids in zip(batch["s"], batch["u"], batch["ids"], strict=True):
+            start = 0
+            for end in [*(i for i, x in enumerate(ids) if x == 0), len(ids)]:
+                rows += [(s, u, ids[i:end]) for i in range(start, end - DEPTH)]
+                start = end + 1
+        yield pd.DataFrame(rows, columns=["s", "u", "rest"])
+
+
+def longer_blocks(ids: DataFrame, blocks: DataFrame, docs: DataFrame) -> DataFrame | None:
+    """(s, len, n_urls) of blocks of more than DEPTH lines. blocks: those of up to DEPTH lines, staged."""
+    totals = docs.filter("source is not null").groupBy(F.xxhash64("source").alias("s")).agg(F.countDistinct("url").alias("total"))
+    rows = ids.filter("u is not null").join(block_lines(blocks.filter("len = 1")), "s")
+    marked = F.transform(F.array_compact("ids"), lambda i: F.when(F.array_contains("repeated", i), i).otherwise(F.lit(0)))
+    live = stage(rows.select("s", "u", marked.alias("ids")).mapInPandas(_run_suffixes, "s bigint, u bigint, rest array<bigint>"), "line-runs")
+    length, found = DEPTH, None
+    while not live.isEmpty():
+        each = live.select("s", "u", "rest", F.explode(F.expr(f"sequence({length + 1}, least({2 * length}, size(rest)))")).alias("len"))
+        each = each.select("s", "u", "len", F.xxhash64(F.expr("slice(rest, 1, len)")).alias("block")).distinct()
+        counted = each.groupBy("s", "len", "block").agg(F.count("*").alias("n_urls")).join(totals, "s").filter(_enough()).drop("total")
+        counted = stage(counted, "longer-blocks")
+        found = counted if found is None else found.unionByName(counted)
+        length *= 2
+        longest = counted.filter(F.col("len") == length).select("s", "block")
+        onward = live.filter(F.size("rest") > length).withColumn("block", F.xxhash64(F.slice("rest", 1, length)))
+        live = stage(onward.join(longest, ["s", "block"], "left_semi").drop("block"), "line-runs")
+    return found.select("s", "len", "n_urls") if found is not None else None
+
+
 def _blocks_of(ids: DataFrame, docs: DataFrame, only_lines: bool) -> DataFrame:
     rows = suffixes(ids)
     candidates = stage(candidate_blocks(rows), "line-blocks")
@@ -169,7 +205,10 @@ def without_repeated_lines(docs: DataFrame) -> DataFrame:
 
 def block_report(docs: DataFrame) -> DataFrame:
     """(source, len, n_blocks, max_urls): how many repeated blocks of each length a source has."""
-    blocks = _blocks_of(line_ids(docs), docs, only_lines=False)
+    ids = line_ids(docs)
+    short = stage(_blocks_of(ids, docs, only_lines=False), "short-blocks")
+    longer, blocks = longer_blocks(ids, short, docs), short.select("s", "len", "n_urls")
+    blocks = blocks if longer is None else blocks.unionByName(longer)
     names = docs.select("source", F.xxhash64("source").alias("s")).distinct()
     return blocks.join(names, "s").groupBy("source", "len").agg(F.count("*").alias("n_blocks"), F.max("n_urls").alias("max_urls"))
 
