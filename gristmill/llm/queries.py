@@ -103,4 +103,11 @@ ORACLES = {
     select id as row_id, case when full_text_location is null then null else coalesce(p.text, full_text_location) end as text,
       case when full_text_location is null then null else coalesce(p.n_removed, 0)::int end as n_removed
     from news left join p on news.id = p.row_id""",
+    "p6_blocks": f"""{_KEYED}, c as (select k.*, r.key is not null as often from k left join r using (source_name, key) where k.key <> ''),
+g as (select *, sum((not often)::int) over (partition by row_id order by line_no) as run from c),
+q as (select row_id, source_name, url, run, list(key order by line_no) as keys from g where often and url is not null group by row_id, source_name, url, run),
+w as (select source_name, url, unnest(flatten(list_transform(range(1, len(keys) + 1), lambda i: list_transform(range(i, len(keys) + 1), lambda j: keys[i:j])))) as block from q),
+b as (select source_name, block, len(block) as n, count(distinct url) as n_urls from w join t using (source_name) group by source_name, block, n, total
+  having count(distinct url) >= 4 and count(distinct url) * 100 >= total * 5)
+select source_name as source, n::int as len, count(*) as n_blocks, max(n_urls) as max_urls from b group by source_name, n""",
 }
