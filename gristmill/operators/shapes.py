@@ -2,9 +2,10 @@
 
 A deterministic bottom-up tree automaton gives every child value a state from the shape of
 its subtree. Children of all states share one supertype table (parent key, two positions,
-state, name); each state is routed to a subtype table of its own typed columns. The shape of
-a value is taken in the JVM (``schema_of_variant``); the automaton runs over the short shape
-strings, once per distinct shape and worker.
+state, name), which is written once, in one folder for each kind and state; a state's subtype
+table reads its own folder and gives it typed columns. The shape of a value is taken in the
+JVM (``schema_of_variant``); the automaton runs over the short shape strings, once per
+distinct shape and worker.
 
 Cases: null parents, null or missing arrays and invalid JSON give no children; null elements
 keep their position and get the state ``void``; a single value in place of an array is its
@@ -20,6 +21,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gristmill.session import stage
+
 VOID, LIST, OTHER = "void", "list", "other"
 LEAVES = {
     "VOID": VOID, "STRING": "text", "BOOLEAN": "flag", "BIGINT": "number", "DOUBLE": "number", "FLOAT": "number",
@@ -159,7 +162,7 @@ INSTITUTION_RULES = [
 ]
 INDUSTRY_RULES = [Rule("identified", {"name": "text", "id": "number|text"}), NAMED, Rule("unnamed")]
 
-#: Typed columns of the subtype tables: kind -> state -> {column: path in the child}.
+#: Typed columns of the subtype tables: kind -> state -> {column: type}.
 SUBTYPES = {
     "author": {
         "registered": {"id": "string", "orcid": "string", "display_name": "string"},
@@ -173,60 +176,109 @@ SUBTYPES = {
         "named": {"display_name": "string", "country_code": "string", "type": "string"},
         "unnamed": {"id": "string", "ror": "string", "country_code": "string"},
     },
-    "industry": {"text": {}, "identified": {"id": "string", "name": "string"}, "labelled": {"name": "string"}, "unnamed": {"id": "string"}},
+    "industry": {"identified": {"id": "string", "name": "string"}, "labelled": {"name": "string"}, "unnamed": {"id": "string"}},
+}
+#: Typed columns of children that are no objects of a known shape: state -> {column: SQL}. A text is its own name.
+LOOSE = {
+    VOID: {},
+    "text": {},
+    "number": {"value": "try_variant_get(child, '$', 'double')"},
+    "flag": {"value": "try_variant_get(child, '$', 'boolean')"},
+    LIST: {"json": "to_json(child)"},
+    OTHER: {"json": "to_json(child)"},
 }
+KEYS = ["parent_id", "pos1", "pos2", "name"]
 
 
 @dataclass
 class ShapeTables:
-    """``super``: kind, parent_id, pos1, pos2, state, name, child. ``subtype(state)``: its keys and typed columns."""
+    """``super``: kind, state, parent_id, pos1, pos2, name, child; staged. ``subtype(state, kind)``: keys and typed columns."""
 
-    kind: str
     super: DataFrame
-
-    def subtype(self, state: str) -> DataFrame:
-        typed = SUBTYPES[self.kind][state]
-        return self.super.filter(F.col("state") == state).select(
-            "parent_id", "pos1", "pos2", "name", *[F.expr(f"try_variant_get(child, '$.{c}', '{t}')").alias(f"child_{c}") for c, t in typed.items()]
-        )
-
-
-def _tables(kind: str, children: DataFrame, rules: list[Rule], name: str) -> ShapeTables:
-    """children: parent_id, pos1, pos2, child (a variant)."""
+    kinds: list[str]
+
+    def states(self, kind: str) -> list[str]:
+        """Every state a child of this kind can have."""
+        return [*SUBTYPES[kind], *LOOSE]
+
+    def subtype(self, state: str, kind: str | None = None) -> DataFrame:
+        """The rows of one state of one kind (the tables' first, if none is given)."""
+        kind = kind or self.kinds[0]
+        if state in LOOSE:
+            typed = LOOSE[state]
+        else:
+            typed = {c: f"try_variant_get(child, '$.{c}', '{t}')" for c, t in SUBTYPES[kind][state].items()}
+        rows = self.super.filter((F.col("kind") == kind) & (F.col("state") == state))
+        return rows.select(*KEYS, *[F.expr(sql).alias(f"child_{c}") for c, sql in typed.items()])
+
+    def all_subtypes(self, *columns: str) -> DataFrame:
+        """These columns of every subtype table, with the kind; together they hold each child once."""
+        parts = None
+        for kind in self.kinds:
+            for state in self.states(kind):
+                each = self.subtype(state, kind).select(F.lit(kind).alias("kind"), *columns)
+                parts = each if parts is None else parts.unionByName(each)
+        return parts
+
+
+def _classified(kind: str, children: DataFrame, rules: list[Rule], name: str) -> DataFrame:
+    """children: parent_id, pos1, pos2, child (a variant). Rows of the supertype table."""
     state = TreeAutomaton(rules).column(shape_of(F.col("child")))
     named = F.coalesce(
         F.when(shape_of(F.col("child")) == "STRING", F.expr("try_variant_get(child, '$', 'string')")),
         F.when(F.expr(f"schema_of_variant(try_variant_get(child, '$.{name}', 'variant'))") == "STRING", F.expr(f"try_variant_get(child, '$.{name}', 'string')")),
     )
-    return ShapeTables(
-        kind,
-        children.withColumn("name", named).select(
-            F.lit(kind).alias("kind"),
-            "parent_id",
-            F.col("pos1").cast("int").alias("pos1"),
-            F.col("pos2").cast("int").alias("pos2"),
-            state.alias("state"),
-            "name",
-            "child",
-        ),
+    return children.select(
+        "parent_id",
+        F.col("pos1").cast("int").alias("pos1"),
+        F.col("pos2").cast("int").alias("pos2"),
+        named.alias("name"),
+        "child",
+        F.lit(kind).alias("kind"),
+        state.alias("state"),
     )
 
 
-def author_tables(works: DataFrame) -> ShapeTables:
+def author_children(works: DataFrame) -> DataFrame:
     at = works.select(F.col("id").alias("parent_id"), F.posexplode("authorships").alias("pos1", "a"))
-    return _tables("author", at.select("parent_id", "pos1", F.lit(-1).alias("pos2"), F.to_variant_object("a.author").alias("child")), AUTHOR_RULES, "display_name")
+    return _classified("author", at.select("parent_id", "pos1", F.lit(-1).alias("pos2"), F.to_variant_object("a.author").alias("child")), AUTHOR_RULES, "display_name")
 
 
-def institution_tables(works: DataFrame) -> ShapeTables:
+def institution_children(works: DataFrame) -> DataFrame:
     at = works.select(F.col("id").alias("parent_id"), F.posexplode("authorships").alias("pos1", "a"))
     each = at.select("parent_id", "pos1", F.posexplode("a.institutions").alias("pos2", "i"))
-    return _tables("institution", each.select("parent_id", "pos1", "pos2", F.to_variant_object("i").alias("child")), INSTITUTION_RULES, "display_name")
+    return _classified("institution", each.select("parent_id", "pos1", "pos2", F.to_variant_object("i").alias("child")), INSTITUTION_RULES, "display_name")
 
 
-def industry_tables(pages: DataFrame) -> ShapeTables:
+def industry_children(pages: DataFrame) -> DataFrame:
     hits = page_hits(pages).select(F.col("page_id").cast("string").alias("parent_id"), "pos1", F.expr("try_variant_get(hit, '$.industries', 'variant')").alias("many"))
     each = hits.select("parent_id", "pos1", F.posexplode(as_list("many")).alias("pos2", "child"))
-    return _tables("industry", each, INDUSTRY_RULES, "name")
+    return _classified("industry", each, INDUSTRY_RULES, "name")
+
+
+def shape_tables(**children: DataFrame) -> ShapeTables:
+    """The tables of all these children, by kind; every child is classified and written once."""
+    whole = None
+    for part in children.values():
+        whole = part if whole is None else whole.unionByName(part)
+    return ShapeTables(stage(whole, "shapes", ["kind", "state"]), list(children))
+
+
+def author_tables(works: DataFrame) -> ShapeTables:
+    return shape_tables(author=author_children(works))
+
+
+def institution_tables(works: DataFrame) -> ShapeTables:
+    return shape_tables(institution=institution_children(works))
+
+
+def industry_tables(pages: DataFrame) -> ShapeTables:
+    return shape_tables(industry=industry_children(pages))
+
+
+def record_tables(works: DataFrame, pages: DataFrame) -> ShapeTables:
+    """The tables of the authors and institutions of works and of the industries in captured pages."""
+    return shape_tables(author=author_children(works), institution=institution_children(works), industry=industry_children(pages))
 
 
 def non_blank(name: str) -> Column:
@@ -234,15 +286,10 @@ def non_blank(name: str) -> Column:
 
 
 def named_children(works: DataFrame, pages: DataFrame) -> DataFrame:
-    """(kind, parent_id, pos1, pos2) of every child with a non-blank name, from the supertype tables."""
-    parts = [author_tables(works), institution_tables(works), industry_tables(pages)]
-    keys = [t.super.filter(non_blank("name")).select("kind", "parent_id", "pos1", "pos2") for t in parts]
-    return keys[0].unionByName(keys[1]).unionByName(keys[2])
+    """(kind, parent_id, pos1, pos2) of every child with a non-blank name, as the union of all subtype tables."""
+    return record_tables(works, pages).all_subtypes(*KEYS).filter(non_blank("name")).drop("name")
 
 
 def variant_counts(works: DataFrame, pages: DataFrame) -> DataFrame:
     """Children of each kind and state, with how many of them are named."""
-    parts = [author_tables(works).super, institution_tables(works).super, industry_tables(pages).super]
-    return (
-        parts[0].unionByName(parts[1]).unionByName(parts[2]).groupBy("kind", "state").agg(F.count("*").alias("n"), F.count_if(non_blank("name")).alias("n_named"))
-    )
+    return record_tables(works, pages).super.groupBy("kind", "state").agg(F.count("*").alias("n"), F.count_if(non_blank("name")).alias("n_named"))

@@ -89,3 +89,20 @@ def test_timestamp_tables_empty_and_clashing(spark):
     rows = timestamps.timestamp_rows(news, jobs, works, pages(spark, listing), sources)
     found = sorted((r.tbl, r.row_id, r.utc_us) for r in timestamps.found_instants(rows, timestamps.InstantDictionary(spark)).collect())
     assert found == [("api_pages", "9", 1_700_000_000_000_000), ("news", "n2", 1_772_955_000_000_000), ("news", "n3", 1_772_940_600_000_000)]
+
+
+def test_every_state_has_a_subtype_table(spark):
+    body = json.dumps({"hits": [{"industries": ["A", None, 5, True, ["x"], {"name": "B", "id": 1}, {"name": "C"}, {"id": 2}]}]})
+    tables = shapes.industry_tables(pages(spark, body))
+    rows = {state: [r.asDict() for r in tables.subtype(state).collect()] for state in tables.states("industry")}
+    assert {state: [r["pos2"] for r in found] for state, found in rows.items() if found} == {"text": [0], "void": [1], "number": [2], "flag": [3], "list": [4], "identified": [5], "labelled": [6], "unnamed": [7]}
+    assert rows["number"][0]["child_value"] == 5.0 and rows["flag"][0]["child_value"] is True and rows["list"][0]["child_json"] == '["x"]'
+    assert tables.all_subtypes("pos2").count() == tables.super.count() == 8
+
+
+def test_rows_of_named_children_come_through_the_automaton(spark, monkeypatch):
+    works = spark.createDataFrame([("w", [(("a", "Ann", None), None)], "", AT, None)], WORKS)
+    monkeypatch.setattr(shapes, "AUTHOR_RULES", [shapes.Rule("named", {"display_name": "number"})])
+    tables = shapes.record_tables(works, pages(spark, None))
+    assert tables.subtype("other", "author").count() == 1 and tables.subtype("identified", "author").count() == 0
+    assert [tuple(r) for r in tables.all_subtypes("parent_id").collect()] == [("author", "w")]
