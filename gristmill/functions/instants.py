@@ -62,6 +62,7 @@ _PATTERNS = [
         rf"(?P<a>\d{{1,2}})/(?P<b>\d{{1,2}})/(?P<y>\d{{4}}|\d{{2}})(?:,?\s{_CLOCK}{_HALF}{_ZONE})?",
         rf"{_WEEKDAY}(?P<d>\d{{1,2}})(?:\.|st|nd|rd|th|er)?(?:\s|-)(?:de\s)?{_MONTH}(?:\s|-)(?:de\s|del\s)?(?P<y>\d{{4}}|\d{{2}})(?:(?:,\s?|\s)(?:(?:at|à|a las|um|at)\s)?{_CLOCK}(?:\s(?:uhr|h))?{_HALF}{_ZONE})?",
         rf"{_WEEKDAY}{_MONTH}\s(?P<d>\d{{1,2}})(?:st|nd|rd|th)?,?\s(?P<y>\d{{4}})(?:(?:,\s?|\s)(?:at\s)?{_CLOCK}{_HALF}{_ZONE})?",
+        rf"{_WEEKDAY}{_MONTH}\s(?P<d>\d{{1,2}})\s{_CLOCK}{_HALF}(?:\s(?P<off>[+-]\d{{2}}:?\d{{2}}|[A-Za-z]{{1,5}}))?\s(?P<y>\d{{4}})",
     )
 ]
 _AGO = re.compile(r"(?P<n>\d+|an?|one)\s(?P<unit>second|sec|minute|min|hour|hr|day|week)s?\sago\Z", re.I)
@@ -132,7 +133,7 @@ def parse(raw: str | None, zone: str | None = None, order: str | None = None) ->
     if raw is None:
         return None, None
     text = _SPACES.sub(" ", raw).strip()
-    if not text or len(text) > 80:
+    if not text:
         return None, None
     if _EPOCH.match(text):
         return _epoch_us(text), None

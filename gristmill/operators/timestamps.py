@@ -5,11 +5,14 @@ in a dictionary below a folder; a later update parses only triples that the fold
 appends them as one more increment. Rows get their instants by an equi-join with it.
 
 Cases: null, blank, incomplete, ambiguous or impossible values have a null instant; repeated
-rows are kept; an empty table adds nothing; a failed write leaves no readable increment.
+rows are kept; an empty table adds nothing; a failed write leaves no readable increment; triples
+that two writers added at once count once.
 """
 
 from __future__ import annotations
 
+import hashlib
+import inspect
 import uuid
 from collections.abc import Iterator
 
@@ -18,9 +21,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
+from gristmill.functions import instants
 from gristmill.functions.instants import parse
 from gristmill.operators.shapes import page_hits
-from gristmill.session import new_path
+from gristmill.session import new_path, shared_dir
 
 KEY = ["raw", "zone", "date_order"]
 SCHEMA = "raw string, zone string, date_order string, utc_us bigint, ago_us bigint"
@@ -34,6 +38,12 @@ def _parse_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield batch
 
 
+def dictionary_path(spark: SparkSession, data: str) -> str:
+    """Where the dictionary of a data folder lies in the shared folder. Another version of the parser has another one."""
+    key = hashlib.sha256(f"{data}\0{inspect.getsource(instants)}".encode()).hexdigest()[:24]
+    return f"{shared_dir(spark).rstrip('/')}/gristmill/instants-of-{key}"
+
+
 class InstantDictionary:
     """Distinct raw values and what they parse to, below ``path``: one parquet folder per increment."""
 
@@ -47,7 +57,7 @@ class InstantDictionary:
             return self.spark.createDataFrame([], SCHEMA)
 
     def update(self, values: DataFrame) -> None:
-        """values: raw, zone, date_order; parses and appends the triples not yet kept."""
+        """values: raw, zone, date_order; parses and appends the triples not yet kept, in one more increment."""
         keys = values.filter(F.col("raw").isNotNull()).select("raw", *[F.coalesce(F.col(c), F.lit("")).alias(c) for c in KEY[1:]]).distinct()
         known = self.read()
         if known.inputFiles():
@@ -57,7 +67,7 @@ class InstantDictionary:
     def normalise(self, rows: DataFrame) -> DataFrame:
         """Adds ``utc_us`` to rows that have raw, zone, date_order and collected_us; rows without an instant keep null."""
         keyed = rows.withColumns({c: F.coalesce(F.col(c), F.lit("")) for c in KEY[1:]})
-        named = self.read().filter("utc_us is not null or ago_us is not null")
+        named = self.read().filter("utc_us is not null or ago_us is not null").groupBy(*KEY).agg(F.first("utc_us").alias("utc_us"), F.first("ago_us").alias("ago_us"))
         joined = keyed.join(named.withColumnRenamed("utc_us", "at_us"), KEY, "left")
         return joined.withColumn("utc_us", F.coalesce("at_us", F.col("collected_us") - F.col("ago_us"))).drop("at_us", "ago_us")
 

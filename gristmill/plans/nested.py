@@ -35,7 +35,7 @@ def p3_identified_industries(spark: SparkSession, sf_dir: str) -> DataFrame:
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     names = ("news", "jobs", "openalex_works", "api_pages", "sources")
     rows = timestamps.timestamp_rows(*[table(spark, sf_dir, name) for name in names])
-    return timestamps.found_instants(rows, timestamps.InstantDictionary(spark))
+    return timestamps.found_instants(rows, timestamps.InstantDictionary(spark, timestamps.dictionary_path(spark, sf_dir)))
 
 
 QUERIES = {f.__name__: f for f in (p3_found, p3_variants, p3_registered_authors, p3_identified_authors, p3_registered_institutions, p3_identified_industries, p4_found)}

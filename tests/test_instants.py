@@ -84,3 +84,14 @@ def test_iso_round_trip(moment):
 @given(st.text(max_size=40))
 def test_never_raises(text):
     parse(text, "Europe/Paris", "dmy")
+
+
+@pytest.mark.parametrize(
+    ("raw", "want"),
+    [
+        ("Sun Nov  8 08:49:37 2026", datetime(2026, 11, 8, 8, 49, 37)), ("Tue Mar 03 14:05:00 +0000 2026", datetime(2026, 3, 3, 14, 5)), ("Tue Mar 3 14:05:00 EST 2026", datetime(2026, 3, 3, 19, 5)),
+        (" " * 200 + "2026-03-03" + "\u00a0" * 200, datetime(2026, 3, 3)), ("2026-03-03 " + "x" * 500, None), ("Tue Mar 33 14:05:00 2026", None),
+    ],
+)
+def test_long_values_and_c_times(raw, want):
+    assert parse(raw)[0] == (None if want is None else int((want - datetime(1970, 1, 1)).total_seconds()) * 1_000_000)

@@ -106,3 +106,23 @@ def test_rows_of_named_children_come_through_the_automaton(spark, monkeypatch):
     tables = shapes.record_tables(works, pages(spark, None))
     assert tables.subtype("other", "author").count() == 1 and tables.subtype("identified", "author").count() == 0
     assert [tuple(r) for r in tables.all_subtypes("parent_id").collect()] == [("author", "w")]
+
+
+def test_a_second_run_parses_nothing(spark, tmp_path, monkeypatch):
+    rows = spark.createDataFrame([("t", str(i), f"2026-01-{1 + i % 20:02d}", None, None, 0) for i in range(60)], "tbl string, row_id string, raw string, zone string, date_order string, collected_us bigint")
+    path = str(tmp_path / "book")
+    first = {tuple(r) for r in timestamps.found_instants(rows, timestamps.InstantDictionary(spark, path)).collect()}
+    parsed = spark.sparkContext.accumulator(0)
+
+    def counting(batches):
+        for batch in batches:
+            parsed.add(len(batch))
+            yield from timestamps_parse(iter([batch]))
+
+    timestamps_parse = timestamps._parse_batches
+    monkeypatch.setattr(timestamps, "_parse_batches", counting)
+    assert {tuple(r) for r in timestamps.found_instants(rows, timestamps.InstantDictionary(spark, path)).collect()} == first
+    assert parsed.value == 0
+    more = rows.withColumn("raw", F.concat("raw", F.lit("T01:00Z")))
+    assert timestamps.found_instants(more, timestamps.InstantDictionary(spark, path)).count() == 60 and parsed.value == 20
+    assert timestamps.dictionary_path(spark, "a") != timestamps.dictionary_path(spark, "b")
