@@ -140,10 +140,31 @@ def test_levels(spark):
 def test_levels_agree_with_raters_held_out(spark):
     base = "/root/testdata/sf0.1"
     docs, labels = spark.read.parquet(f"{base}/documents.parquet"), spark.read.parquet(f"{base}/reading_labels.parquet")
-    rows = reading.labelled_pieces(docs, labels, 600)
+    rows = reading.labelled_histograms(docs, labels, 600)
     cuts = reading.fit_cuts(rows[::2])
     right = 0
-    for pieces, grade in rows[1::2]:
-        counts = np.array(pieces)
-        right += reading.level_of(reading.grades(counts), counts[:, 0], cuts) == int(np.searchsorted((5.5, 10.5, 15.5), grade, side="right")) + 1
-    assert right / len(rows[1::2]) > 0.95
+    for words, grade in rows[1::2]:
+        right += reading.levels_of(words[None, :], cuts)[0] == int(np.searchsorted((5.5, 10.5, 15.5), grade, side="right")) + 1
+    assert right / len(rows[1::2]) > 0.95 and len(rows) > 300
+
+
+def test_few_labels_count_and_none_leave_the_defaults():
+    assert reading.fit_cuts([]) == reading.DEFAULT_CUTS
+    hard = np.array(reading.pieces(HARD * 3))
+    one = [(reading.histogram(hard), 3.0)] * 8
+    assert reading.levels_of(one[0][0][None, :], reading.DEFAULT_CUTS)[0] == 4
+    assert reading.levels_of(one[0][0][None, :], reading.fit_cuts(one))[0] == 1
+
+
+@pytest.mark.parametrize("cuts", [reading.DEFAULT_CUTS, (3.0, 4.25, 30.0)])
+def test_histograms_give_the_levels_of_the_pieces(cuts):
+    rng = random.Random(3)
+    for _ in range(200):
+        text = " ".join(rng.choice([EASY, HARD, "The council will consider the proposal for a new library next week. "]) for _ in range(rng.randint(1, 6)))
+        counts = np.array(reading.pieces(text))
+        assert reading.levels_of(reading.histogram(counts)[None, :], cuts)[0] == reading.level_of(reading.grades(counts), counts[:, 0], cuts)
+
+
+def test_grades_are_on_the_raters_scale():
+    cuts = reading.DEFAULT_CUTS
+    assert list(reading.rater_scale(np.array([-50.0, *cuts, 90.0]), cuts)) == [1.0, 5.5, 10.5, 15.5, 20.0]
