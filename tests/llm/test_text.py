@@ -59,6 +59,29 @@ def test_furniture_of_pages_and_texts(spark):
     assert shares["html/body/div.m0-k"] == 1.0 and shares["html/body/div.m0-z"] == 0.0
 
 
+def test_paths_of_deep_elements_differ():
+    same = "<div>" * 60 + "\n<i class=a>\nx\n</i>\n<i class=b>\ny\n</i>"
+    found = bp.page_lines(same)[0]
+    assert [line.text for line in found] == ["x", "y"] and found[0].path != found[1].path and max(len(line.path) for line in found) < 300
+
+
+def test_lines_of_a_text_are_judged_as_in_their_page(spark):
+    raw = [(f"r{i}", f"https://h.example/{i}", "s", html_page(*p), "") for i, p in enumerate(site(40))]
+    odd = "Entirely unusual words with nothing in common, said nobody to no one at all on any day of that week."
+    page = html_page("A title", [*STORY, odd], ["x"])
+    raw.append(("r40", "https://h.example/40", "s", page.replace("</body>", f"<div class='m1-z'>\n<p>{odd[::-1]}</p>\n</div>\n</body>"), ""))
+    news = spark.createDataFrame([("n0", "A title", "\n".join([*STORY, odd, odd[::-1]]), "r40"), ("n1", "A title", "\n".join(STORY), "gone"), ("n2", None, None, None)], "id string, title string, full_text_location string, raw_document_id string")
+    docs = spark.createDataFrame(raw + raw[:1], RAW)
+    got = {(r.row_id, r.line_no) for r in bp.furniture_lines(news, docs).filter("tbl = 'news'").collect()}
+    assert got == {("n0", 4)}
+
+
+def test_votes_of_few_pages_decide_nothing(spark):
+    votes = spark.createDataFrame([("h", "a", 1, 1), ("h", "b", 2, 2), ("h", "c", 0, 7), ("h", "d", 0, 8), ("h", "e", 60, 100)], "host string, path string, won int, seen int")
+    parsed = spark.createDataFrame([("h", ["a", "b", "c", "d", "e", "new"], 0), ("other", ["a"], 0), ("h", [], 0)], "host string, paths array<string>, best int")
+    assert sorted(r.prior for r in bp.with_priors(parsed, votes).collect()) == [[], [0], [0, 1, 0, -1, 0, 0]]
+
+
 def test_boilerplate_of_empty_tables(spark):
     assert bp.furniture_lines(spark.createDataFrame([], NEWS), spark.createDataFrame([], RAW)).count() == 0
     only = spark.createDataFrame([("n0", "s", "u", "T", "T\n" + "word " * 50_000, "", "", 1)], NEWS)
