@@ -2,9 +2,11 @@
 
 Distinct strings are read into forms: a core (the distinctive part of a firm's name, a
 person's surname), the common words beside it (what a firm does, given names and initials),
-without legal suffixes, titles, case and accents. Cores with similar padded q-grams meet in
-MinHash bands, whose number follows from the collision curve and the recall asked for; what
-the bands miss of what the verifier accepts meets in a shared deletion neighbour, without loss.
+without legal suffixes, titles, case and accents. Which words are common is learned from the
+strings: those that a share of them have, mostly behind another word, and beside many different
+ones. Cores with similar padded q-grams meet in MinHash bands, whose number follows from the
+collision curve and the recall asked for; what the bands miss of what the verifier accepts
+meets in a shared deletion neighbour, without loss.
 Pairs of forms are verified by Monge-Elkan similarity, whose token similarity knows typing
 errors, abbreviations, initials and nicknames, and clustered by star clustering: the most
 complete and most frequent form of a neighbourhood is its centre, and takes the forms that
@@ -12,8 +14,8 @@ are similar to itself.
 
 Cases: null, blank and placeholder strings name nobody; equal strings are one; a form that
 fits no centre stays alone; ties go to the smaller form; forms of one core meet only if
-their common words begin alike or are missing, so a core that many people share is no
-cross product; an empty table gives an empty result.
+their common words begin alike, but for a typing error, or are missing, so a core that many
+people share is no cross product; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -22,7 +24,7 @@ import math
 import re
 import unicodedata
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from functools import lru_cache
 from zlib import crc32
 
@@ -34,31 +36,21 @@ from pyspark.sql import functions as F
 
 from gristmill.session import stage
 
-Q, ROWS, MIN_JACCARD, RECALL = 2, 3, 0.35, 0.9
+#: Letters of a gram, rows of a band, and the similarity of cores from which they meet in a band with this probability.
+#: Pairs below it are found by their deletion neighbours alone.
+Q, ROWS, MIN_JACCARD, RECALL = 2, 4, 0.5, 0.9
 MIN_SIMILARITY = 0.84
 #: Letters of a core whose deletions are its neighbours.
 PREFIX = 16
-#: A word is common if at least this many and this share of a kind's strings have it.
-COMMON_COUNT, COMMON_SHARE = 40, 0.004
+#: A word is common if at least this share of a kind's strings have it, and no other word stands first beside it in
+#: more than this share of them; a firm's common words, other than a person's, mostly have a word before them.
+COMMON_SHARE, ONE_HEAD = 0.004, 0.5
 
 # Legal forms, states and other words that do not tell firms apart.
 NOISE = set(
     "inc incorporated llc llp lp ltd limited gmbh ag sa sas sarl bv nv plc corp corporation co company pbc oy ab pty kg ug srl spa"
     " holding holdings group the yc ai hiring remote careers jobs team and of for".split()
 )
-# Words for what firms do.
-TRADES = set(
-    "networks software research design health robotics systems computing analytics associates engineering international technologies"
-    " laboratories manufacturing biosciences intelligence staffing partners consulting solutions services industries ventures capital"
-    " digital security energy logistics pharmaceuticals therapeutics sciences electronics communications insurance education dynamics".split()
-)
-# Short forms that are neither a beginning nor a squeezed spelling of the word.
-SHORT_FORMS = {
-    "sw": "software", "mfg": "manufacturing", "intl": "international", "bio": "biosciences", "sci": "biosciences", "sciences": "biosciences",
-    "labs": "laboratories", "bioscience": "biosciences", "healthcare": "health", "care": "health", "rnd": "research", "laboratory": "laboratories",
-    "technology": "technologies", "engineers": "engineering", "compute": "computing", "network": "networks", "associate": "associates",
-    "analytic": "analytics", "robotic": "robotics", "robots": "robotics", "system": "systems", "industry": "industries",
-}
 # Strings in place of a name.
 PLACEHOLDERS = set(
     "na n/a none null nil unknown undisclosed confidential confidentialclient confidentialcompany stealth stealthstartup stealthmode stealthcompany"
@@ -83,7 +75,6 @@ GIVEN = {short: {name for name, shorts in NICKNAMES.items() if short in shorts.s
 for _name in NICKNAMES:
     GIVEN.setdefault(_name, set()).add(_name)
 
-_LONG_TRADES = sorted((t for t in TRADES if len(t) > 5), key=lambda t: (-len(t), t))
 _SPLIT = re.compile(r"[^0-9a-z]+")
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 
@@ -135,7 +126,6 @@ def squeezed(short: str, long: str) -> bool:
 @lru_cache(maxsize=100_000)
 def token_similarity(a: str, b: str) -> float:
     """1 equal, 0.95 nickname, beginning, initial or abbreviation, else by typing errors."""
-    a, b = SHORT_FORMS.get(a, a), SHORT_FORMS.get(b, b)
     if a == b:
         return 1.0
     if GIVEN.get(a, {a}) & GIVEN.get(b, {b}):
@@ -145,6 +135,8 @@ def token_similarity(a: str, b: str) -> float:
         return 0.95 if any(name[0] == short for name in GIVEN.get(long, {long})) else 0.0
     if len(short) >= 3 and long.startswith(short[: max(3, len(short) - 1)]) and (long.startswith(short) or len(short) >= 6):
         return 0.95
+    if len(short) >= 4 and short[-1] == "s" and long.startswith(short[:-1]):
+        return 0.95
     if len(short) <= 0.6 * len(long) and squeezed(short, long):
         return 0.95
     best = max((1 - distance(x, y) / max(len(x), len(y)) for x in GIVEN.get(a, {a}) for y in GIVEN.get(b, {b}) if distance(x, y) <= allowed(x, y)), default=0.0)
@@ -177,55 +169,114 @@ def _typed(token: str, word: str) -> float:
     return max(token_similarity(token, word), 1 - errors / max(len(token), len(word)) if known else 0.0)
 
 
-def _trade(token: str, common: frozenset[str]) -> str | None:
-    """The trade word that a token stands for, or its own if it is common; None if it is distinctive."""
-    token = SHORT_FORMS.get(token, token)
-    if token in TRADES or token in common:
-        return token
-    best = max(sorted(TRADES | {w for w in SHORT_FORMS if len(w) > 5}), key=lambda w: (w.startswith(token), _typed(token, w)))
-    if len(token) < 5:
-        return best if len(token) >= 2 and (best.startswith(token) and len(token) > 2 or squeezed(token, best) and token_similarity(token, best) >= 0.95) else None
-    return SHORT_FORMS.get(best, best) if _typed(token, best) >= 0.75 else None
-
-
-_trade_cached = lru_cache(maxsize=200_000)(_trade)
-
-
-def company_form(name: str, common: frozenset[str] = frozenset()) -> Form | None:
+def misspelt(token: str, word: str) -> bool:
+    """Whether a token is a long word with one error and another ending, or with one error and a few letters more."""
+    if len(word) >= 5 and 0 < len(token) - len(word) <= 4 and distance(token[: len(word)], word) <= 1:
+        return True
+    stem = token[:-1]
+    return len(stem) >= max(6, 0.6 * len(word)) and any(distance(stem, word[:n]) <= 1 for n in range(len(stem) - 1, len(stem) + 2))
+
+
+def stands_for(token: str, word: str) -> bool:
+    """Whether a token is a beginning, a squeezed spelling, another ending or a compound of a common word."""
+    if len(token) >= 3 and word.startswith(token) or len(token) >= 4 and token[-1] == "s" and word.startswith(token[:-1]):
+        return True
+    if len(word) >= 5 and token.startswith(word) and len(token) - len(word) <= 4:
+        return True
+    if len(token) >= 2 and len(token) <= 0.6 * len(word) and squeezed(token, word):
+        return True
+    alike = next((i for i, (x, y) in enumerate(zip(token, word, strict=False)) if x != y), min(len(token), len(word)))
+    return alike >= 5 and alike >= 0.6 * max(len(token), len(word))
+
+
+@dataclass(eq=False)
+class Vocabulary:
+    """A kind's common words with the number of strings that have each, by their initials the pairs that many have, and
+    the words that begin the names of many records."""
+
+    words: dict[str, int] = field(default_factory=dict)
+    pairs: dict[str, tuple[str, str]] = field(default_factory=dict)
+    heads: frozenset[str] = frozenset()
+
+    def __post_init__(self) -> None:
+        self._read: dict[str, str | None] = {}
+        self.long = sorted((w for w in self.words if len(w) > 5), key=lambda w: (-len(w), w))
+
+    def read(self, token: str) -> str | None:
+        """The common word that a token stands for; its own if it stands for several; None if it is distinctive."""
+        if token not in self._read:
+            if len(self._read) > 200_000:
+                self._read.clear()
+            self._read[token] = self._find(token)
+        return self._read[token]
+
+    def _find(self, token: str) -> str | None:
+        often = self.words.get(token, 0)
+        meant = [w for w, n in self.words.items() if n > often and w != token and stands_for(token, w)]
+        meant = [w for w in meant if not any(self.words[v] > self.words[w] and stands_for(w, v) for v in meant if v != w)]  # short forms may be common too
+        if meant or often:
+            return meant[0] if len(meant) == 1 else token
+        if len(token) < 5 or not self.words:
+            return None
+        alike = {w: max(_typed(token, w), 0.75 if misspelt(token, w) else 0.0) for w in self.words}
+        best = max(alike, key=lambda w: (alike[w], self.words[w], w))
+        return (self.read(best) or best) if alike[best] >= 0.75 else None
+
+
+NO_WORDS = Vocabulary()
+
+
+def company_form(name: str, common: Vocabulary = NO_WORDS) -> Form | None:
     """The form of a firm's name; None for blanks and placeholders."""
     plain = " ".join(w for w in unicodedata.normalize("NFC", name).split() if fold(w).strip(".,()") not in NOISE) or name
     text = fold(_CAMEL.sub(" ", plain)).replace("'", "").replace("’", "")
-    text = re.sub(r"\br\s?&\s?d\b", "research design", text)
     if re.sub(r"[^a-z/]", "", text).strip("/") in PLACEHOLDERS:
         return None
+    first, _, last = text.partition(",")
+    if any(t not in NOISE for t in _SPLIT.split(last) if t):  # "what it does, name"
+        text = f"{last} {first}"
     tokens = [t for t in _SPLIT.split(re.sub(r"\b([a-z])\.(?=[a-z]\b)", r"\1", text)) if t]
     kept = [t for t in tokens if t not in NOISE] or tokens
-    core, trades = [], []
-    for token in kept:
-        word = _trade_cached(token, common) if len(kept) > 1 else None
+    core, trades, i = [], [], 0
+    while i < len(kept):
+        token, after = kept[i], kept[i + 1] if i + 1 < len(kept) else ""
+        initials = token[0] + after if len(token) == len(after) == 1 else token[0] + token[2] if len(token) == 3 and token[1] == "n" else ""
+        if core and initials in common.pairs:
+            trades += common.pairs[initials]
+            i += 1 + (len(token) == 1)
+            continue
+        word = common.read(token) if len(kept) > 1 else None
+        joined = common.read(token + after) if after and core else None
+        if joined in common.words and (joined == word or word is None and joined.startswith(token)) and common.read(after) in (None, joined):
+            trades.append(joined)  # one common word in two parts
+            i += 2
+            continue
         (core if word is None else trades).append(token if word is None else word)
+        i += 1
     if not core:
         core, trades = ([kept[0]], trades[1:]) if kept else ([], [])
+    if at := next((i for i, t in enumerate(core) if t in common.heads), 0):  # a well-known name in another order
+        core = core[at:] + core[:at]
     joined = "".join(core)
-    for word in _LONG_TRADES:  # written together
+    for word in common.long:  # written together
         if joined.endswith(word) and len(joined) - len(word) >= 4:
-            joined, trades = joined[: -len(word)], [word, *trades]
+            joined, trades = joined[: -len(word)], [common.read(word) or word, *trades]
             break
     if len(joined) < 2:
         return None
     return Form(joined, tuple(sorted(dict.fromkeys(trades))))
 
 
-def _is_given(token: str, common: frozenset[str]) -> float:
-    if token in GIVEN or token in common:
-        return 1.0
+@lru_cache(maxsize=200_000)
+def _like_given(token: str) -> float:
     return max((s for n in NICKNAMES if (s := token_similarity(token, n)) < 0.95), default=0.0) if len(token) > 3 else 0.0
 
 
-_given_cached = lru_cache(maxsize=200_000)(_is_given)
+def _is_given(token: str, common: Vocabulary) -> float:
+    return 1.0 if token in GIVEN or token in common.words else _like_given(token)
 
 
-def person_form(name: str, common: frozenset[str] = frozenset()) -> Form | None:
+def person_form(name: str, common: Vocabulary = NO_WORDS) -> Form | None:
     """The form of a person's name: surname, given name or initial, further initials; None for blanks."""
     plain = unicodedata.normalize("NFC", name).replace("’", "'")
     if re.sub(r"[^a-z/]", "", fold(plain)).strip("/") in PLACEHOLDERS:
@@ -252,9 +303,9 @@ def person_form(name: str, common: frozenset[str] = frozenset()) -> Form | None:
         tokens = spread(parts[0])
         if len(tokens) < 2:
             surname, given = tokens, []
-        elif len(tokens[-1]) == 1 and len(tokens[0]) > 1 and _given_cached(tokens[0], common) < 0.7:
+        elif len(tokens[-1]) == 1 and len(tokens[0]) > 1 and _is_given(tokens[0], common) < 0.7:
             surname, given = tokens[:1], tokens[1:]
-        elif _given_cached(tokens[-1], common) > _given_cached(tokens[0], common) and len(tokens[0]) > 1:
+        elif _is_given(tokens[-1], common) > _is_given(tokens[0], common) and len(tokens[0]) > 1:
             surname, given = tokens[:-1], tokens[-1:]
             if len(tokens) > 2 and all(len(t) == 1 for t in tokens[1:-1]):
                 surname, given = tokens[:1], [tokens[-1], *tokens[1:-1]]
@@ -274,6 +325,12 @@ def initials_of(common: tuple[str, ...]) -> set[str]:
     return {name[0] for t in common for name in GIVEN.get(t, {t})}
 
 
+def meeting_keys(common: tuple[str, ...]) -> list[str]:
+    """What forms of one core meet by: first letters, and three letters near the beginning, which one typing error there leaves."""
+    near = {f"~{t[i : i + 3]}" for t in common if len(t) >= 4 for i in range(3) if len(t) >= i + 3}
+    return sorted(initials_of(common) | near) or [""]
+
+
 def form_similarity(kind: str, a: Form, b: Form) -> float:
     """Monge-Elkan similarity of two forms, cores and common words alike; 0 where one part contradicts the other."""
     errors = distance(a.core, b.core)
@@ -305,7 +362,7 @@ def _band_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     bands = bands_for(MIN_JACCARD, RECALL, ROWS)
     rng = np.random.default_rng(7)
     seeds = rng.integers(1, 1 << 62, size=(2, bands * ROWS), dtype=np.uint64) | np.uint64(1)
-    mult = np.array([1, 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F][:ROWS], dtype=np.uint64)
+    mult = rng.integers(1, 1 << 62, size=ROWS, dtype=np.uint64) | np.uint64(1)
     for batch in batches:
         if not len(batch):
             continue
@@ -345,15 +402,34 @@ def candidate_cores(cores: DataFrame) -> DataFrame:
     return pairs.unionByName(cores.select("kind", F.col("core").alias("core_a"), F.col("core").alias("core_b")))
 
 
-def common_words(strings: DataFrame) -> dict[str, frozenset[str]]:
-    """Words of a large share of a kind's strings; at most 1/COMMON_SHARE times the words of a string."""
-    words = strings.select("kind", F.explode(F.array_distinct(F.split(F.lower("name"), r"[^\p{L}]+"))).alias("w")).filter(F.length("w") > 2)
-    totals = strings.groupBy("kind").agg(F.count("*").alias("total"))
-    often = words.groupBy("kind", "w").agg(F.count("*").alias("df")).filter(F.col("df") >= COMMON_COUNT).join(totals, "kind").filter(F.col("df") >= F.col("total") * COMMON_SHARE)
-    found: dict[str, set[str]] = {}
-    for row in often.select("kind", "w").collect():
-        found.setdefault(row.kind, set()).add(fold(row.w))
-    return {kind: frozenset(w) for kind, w in found.items()}
+def common_words(strings: DataFrame) -> dict[str, Vocabulary]:
+    """Each kind's common words, pairs and heads: at most 1/COMMON_SHARE times the words of a string of each."""
+    totals = strings.groupBy("kind").agg(F.count("*").alias("total"), F.sum("n").alias("rows"))
+    split = F.filter(F.split(F.lower("name"), r"[^\p{L}]+"), lambda w: (F.length(w) > 2) & ~w.isin(*sorted(NOISE)))
+    words = strings.select("kind", "n", F.array_distinct(split).alias("ws")).filter("size(ws) > 0")
+    each = words.select("kind", "n", "ws", F.posexplode("ws").alias("i", "w"))
+    head = F.coalesce(F.get(F.filter("ws", lambda x: x != F.col("w")), F.lit(0)), F.lit(""))
+    sums = [F.count("*").alias("df"), F.count_if(F.col("i") > 0).alias("behind"), F.sum("n").alias("uses"), F.sum(F.when(F.col("i") == 0, F.col("n")).otherwise(0)).alias("ahead")]
+    heads = each.groupBy("kind", "w", head.alias("head")).agg(*sums)
+    often = heads.groupBy("kind", "w").agg(*[F.sum(c).alias(c) for c in ("df", "behind", "uses", "ahead")], F.max("df").alias("one")).join(totals, "kind")
+    wide = (F.col("df") >= F.col("total") * COMMON_SHARE) & (F.col("one") <= F.col("df") * ONE_HEAD) & ((F.col("kind") != "company") | (F.col("behind") * 2 > F.col("df")))
+    known_head = (F.col("kind") == "company") & (F.col("uses") >= F.col("rows") * COMMON_SHARE) & (F.col("ahead") * 2 > F.col("uses"))
+    found: dict[str, dict[str, int]] = {}
+    first: set[str] = set()
+    for row in often.select("kind", "w", "df", wide.alias("wide")).filter(wide | known_head).collect():
+        if row.wide:
+            found.setdefault(row.kind, {})[fold(row.w)] = int(row.df)
+        else:
+            first.add(fold(row.w))
+    known = F.array(*[F.lit(w) for w in sorted(found.get("company", {}))]) if found.get("company") else F.array().cast("array<string>")
+    two = F.transform(F.sequence(F.lit(0), F.size("ws") - 2), lambda i: F.struct(F.get("ws", i).alias("a"), F.get("ws", i + 1).alias("b")))
+    pairs = words.filter("kind = 'company' and size(ws) > 1").select(F.explode(two).alias("p")).select("p.a", "p.b")
+    pairs = pairs.filter(F.array_contains(known, F.col("a")) & F.array_contains(known, F.col("b"))).groupBy("a", "b").agg(F.count("*").alias("n"))
+    total = next((r.total for r in totals.collect() if r.kind == "company"), 0)  # a row for each kind
+    by_initials: dict[str, tuple[str, str]] = {}
+    for row in sorted(pairs.filter(F.col("n") >= total * COMMON_SHARE).select("n", "a", "b").collect()):
+        by_initials[row.a[0] + row.b[0]] = (row.a, row.b)  # the most frequent one last
+    return {kind: Vocabulary(found.get(kind, {}), *((by_initials, frozenset(first)) if kind == "company" else ())) for kind in {"company", *found}}
 
 
 def parse_forms(strings: DataFrame) -> DataFrame:
@@ -365,11 +441,13 @@ def parse_forms(strings: DataFrame) -> DataFrame:
         for batch in batches:
             rows = []
             for kind, name, n in zip(batch["kind"], batch["name"], batch["n"], strict=True):
-                if form := readers[kind](name, common.get(kind, frozenset())):
-                    rows.append((kind, name, n, form.core, list(form.common), form.rest, sorted(initials_of(form.common)) or [""]))
+                if form := readers[kind](name, common.get(kind, NO_WORDS)):
+                    rows.append((kind, name, n, form.core, list(form.common), form.rest, meeting_keys(form.common)))
             yield pd.DataFrame(rows, columns=["kind", "name", "n", "core", "common", "rest", "letters"])
 
-    return strings.mapInPandas(read, "kind string, name string, n bigint, core string, common array<string>, rest string, letters array<string>")
+    spark = strings.sparkSession  # few rows that take long to read: the optimizer would leave them to few tasks
+    tasks = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return strings.repartition(tasks).mapInPandas(read, "kind string, name string, n bigint, core string, common array<string>, rest string, letters array<string>")
 
 
 def similar_forms(forms: DataFrame) -> DataFrame:

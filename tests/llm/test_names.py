@@ -6,6 +6,13 @@ import pytest
 
 from gristmill.llm import matching, names
 
+#: What a large table teaches about the words below.
+WORDS = names.Vocabulary(
+    {"networks": 175, "design": 168, "research": 164, "systems": 160, "health": 145, "biosciences": 143, "manufacturing": 137, "laboratories": 127, "staffing": 120, "partners": 110, "intelligence": 132, "international": 159},
+    {"rd": ("research", "design")},
+    frozenset({"meridale"}),
+)
+
 
 @pytest.mark.parametrize(
     ("a", "b"),
@@ -15,12 +22,12 @@ from gristmill.llm import matching, names
     ],
 )
 def test_same_firms(a, b):
-    assert names.form_similarity("company", names.company_form(a), names.company_form(b)) >= names.MIN_SIMILARITY
+    assert names.form_similarity("company", names.company_form(a, WORDS), names.company_form(b, WORDS)) >= names.MIN_SIMILARITY
 
 
 @pytest.mark.parametrize(("a", "b"), [("Vicodife Health", "Vicodife Biosciences"), ("Vicodife Health", "Trobaneku Health"), ("Acme Systems", "Zeta Systems")])
 def test_other_firms(a, b):
-    assert names.form_similarity("company", names.company_form(a), names.company_form(b)) < names.MIN_SIMILARITY
+    assert names.form_similarity("company", names.company_form(a, WORDS), names.company_form(b, WORDS)) < names.MIN_SIMILARITY
 
 
 @pytest.mark.parametrize("b", ["Cotevumo, Christopher", "COTEVUMO, C.", "C. K. Cotevumo", "CK Cotevumo", "Cotevumo Christopher", "Dr. Chris Cotevumo", "Chridtopher Cotevumo", "Kit Cotevmuo", "christopher cotevumo", "Christopher K. Cotevumo"])
@@ -82,8 +89,12 @@ PARSED = "id string, record_type string, data string, site string"
 WORKS = "authorships array<struct<author struct<display_name string>>>"
 
 
+#: Other firms, from whose names the operator learns which words are common.
+OTHERS = [f"{core} {word}" for core, word in zip("Bredihewa Trobaneku Wacamica Gozagijo Hebruvasta Kijoduji Nenebala Plufewimo Zatepori Fuzepuhu Gehulezu Filipliwo".split(), "Networks Health Biosciences Systems".split() * 3, strict=True)]
+
+
 def test_linked_names(spark):
-    jobs = spark.createDataFrame([(str(i), c, None, "f", "e") for i, c in enumerate(["Cisugabri Networks"] * 5 + ["cisugabri netw.", "Cisugabri Systems", None, "", "N/A", "N/A ", " Cisugabri Networks"])], JOBS)
+    jobs = spark.createDataFrame([(str(i), c, None, "f", "e") for i, c in enumerate([*OTHERS] + ["Cisugabri Networks"] * 5 + ["cisugabri netw.", "Cisugabri Systems", None, "", "N/A", "N/A ", " Cisugabri Networks"])], JOBS)
     startups = spark.createDataFrame([("s", "Císugabri Networks, Inc.", None, None, "")], STARTUPS)
     works = spark.createDataFrame([([(("Ann Xobelu",),), (("Ana Xobelu",),), None, (None,), ((" ",),)],), (None,)], WORKS)
     got = {(r.kind, r.name_a, r.name_b) for r in names.linked_names(jobs, startups, works).collect()}
@@ -101,7 +112,7 @@ def test_matching(spark):
         ],
         PARSED,
     )
-    jobs = spark.createDataFrame([("j1", "CISUGABRI NETW.", {"apply_url": "https://careers.cisugabri.example/apply"}, "", ""), ("j2", "Confidential", None, "", ""), ("j3", "Vicodife Heatlh", {}, "", ""), ("j4", None, None, "", ""), ("j5", "Vicodife Heatlh", {}, "", "")], JOBS)
+    jobs = spark.createDataFrame([("j1", "CISUGABRI NETW.", {"apply_url": "https://careers.cisugabri.example/apply"}, "", ""), ("j2", "Confidential", None, "", ""), ("j3", "Vicodife Heatlh", {}, "", ""), ("j4", None, None, "", ""), ("j5", "Vicodife Heatlh", {}, "", "")] + [(f"o{i}", name, None, "", "") for i, name in enumerate(OTHERS)], JOBS)
     rows = matching.matched_records(startups, parsed, jobs).collect()
     assert {(r.startup_id, r.other_tbl, r.other_id) for r in rows} == {
         ("s1", "parsed_records", "p1"), ("s2", "parsed_records", "p1"), ("s3", "parsed_records", "p2"), ("s1", "jobs", "j1"), ("s2", "jobs", "j1"), ("s3", "jobs", "j3"), ("s3", "jobs", "j5"),
@@ -113,3 +124,32 @@ def test_matching(spark):
 def test_places():
     assert matching.place_key("Kestrel Falls (Washland)") == matching.place_key("Washland - KESTREL FALLS / Remote") == "falls kestrel washland"
     assert matching.place_key("Multiple locations (remote ok)") == "" and matching.place_key(None) == ""
+
+
+@pytest.mark.parametrize(
+    ("token", "word"),
+    [
+        ("netw", "networks"), ("network", "networks"), ("labs", "laboratories"), ("laborattory", "laboratories"), ("mfg", "manufacturing"), ("bio", "biosciences"), ("healthcare", "health"), ("healhtcare", "health"), ("intel", "intelligence"),
+        ("intl", "intl"), ("int", "int"), ("cisugabri", None), ("zoo", None),
+    ],
+)
+def test_what_tokens_stand_for(token, word):
+    assert WORDS.read(token) == word and names.NO_WORDS.read(token) is None
+
+
+def test_common_words_are_learned(spark):
+    rng = random.Random(3)
+    trades = ["Forge", "Bakery", "Shipping", "Textiles"]
+    cores = ["".join(rng.choice("bdfgklmnprstv") + rng.choice("aeiou") for _ in range(4)) for _ in range(120)]
+    rows = [("company", f"{c.title()} {rng.choice(trades)}", 1) for c in cores] + [("company", f"Oak {'abcdefghij'[i % 10] * 2}{i} Shipping Textiles", 60) for i in range(20)] + [("author", "Ann Xo", 1)]
+    found = names.common_words(spark.createDataFrame(rows, "kind string, name string, n bigint"))
+    assert set(found["company"].words) == {"forge", "bakery", "shipping", "textiles"} and found["company"].heads == {"oak"}
+    assert found["company"].pairs == {"st": ("shipping", "textiles")}
+    assert names.common_words(spark.createDataFrame(rows, "kind string, name string, n bigint").limit(0))["company"].words == {}
+
+
+def test_given_names_with_an_error_in_the_first_letters_meet(spark):
+    names_ = ["Christopher Xobelu", "Shristopher Xobelu", "Hcristopher Xobelu", "Cchristopher Xobelu", "Robert Xobelu"]
+    works = spark.createDataFrame([([((n,),) for n in names_],)], WORKS)
+    got = {(r.name_a, r.name_b) for r in names.linked_names(spark.createDataFrame([], JOBS), spark.createDataFrame([], STARTUPS), works).collect()}
+    assert got == {(a, b) for a in names_[:4] for b in names_[:4] if a < b}
