@@ -3,9 +3,10 @@
 A deterministic cascade of rules: each is an exact join on a weaker combination of
 attributes, over the records that no earlier rule resolved. The attributes are the site, the
 form of the name, the name's cluster of spellings, and the place; the firms are those of the
-directory rows. A rule's confidence is its precision on labelled pairs, smoothed: pairs
-where both sides state an attribute that the rule does not use, so that it can tell right
-from wrong (the site for rules on names, the name for the rule on sites).
+directory rows. A rule's confidence is its precision on labelled pairs, smoothed: those of the
+pairs it decides itself where both sides state an attribute that the rule does not use, so
+that it can tell right from wrong (the site for rules on names, the name for rules on sites).
+A record's own votes do not count for its label, which is what the directory states.
 
 Postings are reduced to distinct (name, site, place) profiles before any join and expanded
 at the end, so that a firm with a third of all postings costs no more than any other.
@@ -22,7 +23,7 @@ import re
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gristmill.llm import names
@@ -92,7 +93,7 @@ def with_names(profiles: DataFrame) -> DataFrame:
     """Adds form (an identifier of the name's form), core, and entity (the name's cluster of spellings)."""
     strings = profiles.filter(F.col("name").rlike(r"(?U)\S")).groupBy(F.lit("company").alias("kind"), "name").agg(F.sum("n").alias("n"))
     clusters = names.name_clusters(strings)
-    return profiles.join(clusters.select("name", "form", "entity").hint("merge"), "name", "left")
+    return profiles.join(stage(clusters.select("name", "form", "entity"), "firm-names"), "name", "left")
 
 
 def _place_batches(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -117,34 +118,37 @@ def firm_of_rows(named: DataFrame) -> DataFrame:
     A site's records agree on a firm even where one of their names is hard to read.
     """
     votes = named.filter("site is not null and entity is not null").groupBy("site", "entity").agg(F.sum("n").alias("votes"))
-    best = votes.groupBy("site").agg(F.max_by("entity", F.struct("votes", -F.col("entity"))).alias("site_firm"))
-    return named.join(best.hint("merge"), "site", "left").withColumn("firm", F.coalesce("site_firm", "entity")).drop("site_firm")
+    best = votes.groupBy("site").agg(F.max_by("entity", F.struct("votes", F.bitwise_not("entity"))).alias("site_firm"))
+    return named.join(best, "site", "left").withColumn("firm", F.coalesce("site_firm", "entity")).drop("site_firm")
 
 
 def resolve_profiles(named: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(links, rules). links: profile, firm, rule, confidence for every profile that a rule resolves;
-    rules: rule, right, wrong, confidence. named: profile, tbl, form, entity, site, place_key, firm, n."""
+    rules: rule, right, wrong, confidence. named: profile, tbl, form, entity, site, place_key, firm, n; staged."""
     known = named.filter("tbl = 'startups' and firm is not null")
     others = named.filter("tbl <> 'startups'")
-    open_rows = others
-    links, rates = None, []
+    links = None
     for rule, keys, label in RULES:
-        usable = lambda df, keys=keys: df.filter(" and ".join(f"{k} is not null" + (f" and {k} <> ''" if k == "place_key" else "") for k in keys))
-        stated = usable(known).groupBy(*keys, "firm").agg(F.sum("n").alias("votes"), F.max_by(label, "n").alias("label"))
-        ranked = stated.withColumn("r", F.row_number().over(Window.partitionBy(*keys).orderBy(F.desc("votes"), "firm"))).filter("r = 1").drop("r", "votes")
-        ranked = ranked.withColumnRenamed("firm", "to_firm")
-        # precision is counted over all records that the rule could decide, not only those that are still open
-        judged = usable(others).join(ranked.hint("merge"), keys).filter("label is not null").select("n", "label", F.col(label).alias("own")).filter("own is not null")
-        right, wrong = (F.coalesce(F.sum(F.when(c, F.col("n"))), F.lit(0)) for c in (F.col("label") == F.col("own"), F.col("label") != F.col("own")))
-        count = judged.agg(right.alias("right"), wrong.alias("wrong")).first()  # one row
-        confidence = (count.right + PRIOR_RIGHT) / (count.right + count.wrong + PRIOR_RIGHT + PRIOR_WRONG)
-        rates.append((rule, int(count.right), int(count.wrong), confidence))
-        found = usable(open_rows).join(ranked.hint("merge"), keys).select("profile", F.col("to_firm").alias("firm"), F.lit(rule).alias("rule"), F.lit(confidence).alias("confidence"))
+        usable = " and ".join(f"{k} is not null" + (f" and {k} <> ''" if k == "place_key" else "") for k in keys)
+        stated = known.filter(usable).groupBy(*keys, "firm").agg(F.sum("n").alias("votes"), F.max_by(label, F.struct("n", label)).alias("label"))
+        best = stated.groupBy(*keys).agg(F.max_by(F.struct("firm", "label"), F.struct("votes", F.bitwise_not("firm"))).alias("best"))
+        open_rows = others.filter(usable).select("profile", "n", F.col(label).alias("own"), *[k for k in keys])
+        if links is not None:
+            open_rows = open_rows.join(links.select("profile"), "profile", "left_anti")
+        found = open_rows.join(best, keys).select("profile", F.col("best.firm").alias("firm"), F.lit(rule).alias("rule"), "n", (F.col("own") == F.col("best.label")).alias("agrees"))
         found = stage(found, "rule-links")
         links = found if links is None else links.unionByName(found)
-        open_rows = open_rows.join(found.select("profile").hint("merge"), "profile", "left_anti")
+    sides = (F.coalesce(F.sum(F.when(F.col("agrees") == side, F.col("n"))), F.lit(0)) for side in (True, False))
+    counts = {r[0]: (int(r[1]), int(r[2])) for r in links.groupBy("rule").agg(*sides).collect()}  # one row a rule
+    rates = []
+    for rule, *_ in RULES:
+        right, wrong = counts.get(rule, (0, 0))
+        rates.append((rule, right, wrong, (right + PRIOR_RIGHT) / (right + wrong + PRIOR_RIGHT + PRIOR_WRONG)))
+    confidence = F.lit(None).cast("double")
+    for rule, _, _, rate in rates:
+        confidence = F.when(F.col("rule") == rule, F.lit(rate)).otherwise(confidence)
     rules = named.sparkSession.createDataFrame(rates, "rule string, right bigint, wrong bigint, confidence double")
-    return links, rules
+    return links.select("profile", "firm", "rule", confidence.alias("confidence")), rules
 
 
 def prepared(tables: dict[str, DataFrame]) -> DataFrame:
@@ -167,9 +171,9 @@ def matched_records(startups: DataFrame, parsed: DataFrame, jobs: DataFrame) ->
         key = F.xxhash64(F.lit(tbl), *[F.coalesce(F.col(c), F.lit("\0")) for c in ("name", "site", "place")])
         each = df.select("row_id", F.lit(tbl).alias("tbl"), key.alias("profile"))
         keyed = each if keyed is None else keyed.unionByName(each)
-    rows_of_firm = keyed.filter("tbl = 'startups'").join(named.filter("tbl = 'startups' and firm is not null").select("profile", "firm").hint("merge"), "profile").select(F.col("row_id").alias("startup_id"), "firm")
-    others = keyed.filter("tbl <> 'startups'").join(links.hint("merge"), "profile")
-    return others.join(rows_of_firm.hint("merge"), "firm").select("startup_id", F.col("tbl").alias("other_tbl"), F.col("row_id").alias("other_id"), "rule", "confidence")
+    rows_of_firm = keyed.filter("tbl = 'startups'").join(named.filter("tbl = 'startups' and firm is not null").select("profile", "firm"), "profile").select(F.col("row_id").alias("startup_id"), "firm")
+    others = keyed.filter("tbl <> 'startups'").join(links, "profile")
+    return others.join(rows_of_firm, "firm").select("startup_id", F.col("tbl").alias("other_tbl"), F.col("row_id").alias("other_id"), "rule", "confidence")
 
 
 def rule_report(startups: DataFrame, parsed: DataFrame, jobs: DataFrame) -> DataFrame:

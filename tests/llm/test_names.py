@@ -153,3 +153,24 @@ def test_given_names_with_an_error_in_the_first_letters_meet(spark):
     works = spark.createDataFrame([([((n,),) for n in names_],)], WORKS)
     got = {(r.name_a, r.name_b) for r in names.linked_names(spark.createDataFrame([], JOBS), spark.createDataFrame([], STARTUPS), works).collect()}
     assert got == {(a, b) for a in names_[:4] for b in names_[:4] if a < b}
+
+
+def test_confidence_is_the_precision_of_what_a_rule_decides(spark):
+    columns = "profile bigint, tbl string, form bigint, entity bigint, site string, place_key string, firm bigint, n bigint"
+    known = [(1, "startups", 11, 101, "a.example", "ulm", 101, 1), (2, "startups", 12, 102, "b.example", "", 102, 1)]
+    others = [
+        (10, "jobs", 11, 101, "a.example", "ulm", 101, 7),  # site and name
+        (11, "jobs", 99, 999, "a.example", "", 101, 2),  # site, another name
+        (12, "jobs", 98, 101, "a.example", "", 101, 5),  # site, the same spellings
+        (13, "jobs", 11, 101, "z.example", "ulm", 101, 3),  # name and place, another site
+        (14, "jobs", 12, 102, None, "", 102, 4),  # name, no site
+        (15, "jobs", 12, 102, "q.example", "", 102, 1),  # name, another site
+        (16, "jobs", 77, 102, "r.example", "", 102, 6),  # spelling, another site
+        (17, "jobs", 55, 555, "s.example", "", 555, 9),  # nobody
+    ]
+    links, rules = matching.resolve_profiles(spark.createDataFrame(known + others, columns))
+    assert {r.profile: (r.firm, r.rule) for r in links.collect()} == {
+        10: (101, "site and name"), 11: (101, "site"), 12: (101, "site"), 13: (101, "name and place"), 14: (102, "name"), 15: (102, "name"), 16: (102, "spelling"),
+    }
+    got = {r.rule: (r.right, r.wrong, round(r.confidence, 4)) for r in rules.collect()}
+    assert got == {"site and name": (7, 0, 0.8889), "site": (5, 2, 0.6667), "name and place": (0, 3, 0.2), "name": (0, 1, 0.3333), "spelling and place": (0, 0, 0.5), "spelling": (0, 6, 0.125)}
