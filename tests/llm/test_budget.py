@@ -5,6 +5,7 @@ from collections import defaultdict
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from gristmill.llm import mixing, packing
 from gristmill.llm.tokens import VOCABULARY, tokenizer
@@ -80,7 +81,8 @@ def test_mix(spark):
     rows = [(i, "big", f"text number {i} " * 10, 0, 0) for i in range(300)] + [(1000 + i, "small", f"other number {i} " * 10, 0, 0) for i in range(20)] + [(5000, "big", None, 0, 0), (5001, "small", "", 0, 0), (5002, None, "x", 0, 0)]
     docs = spark.createDataFrame(rows, DOCS)
     targets = spark.createDataFrame([(1, "big", 0.5, 2), (1, "small", 0.5, 3), (1, "none", 0.2, 1), (2, "none", 1.0, 4), (3, "small", None, 1), (3, "big", 0.4, 1), (3, "big", 0.4, 1)], "mix_id int, source string, target_share double, max_repeats int")
-    drawn, report = mixing.mix(docs, targets, block=64, frame=100)
+    scarce = 2 * 3 * sum(len(tokenizer(VOCABULARY).encode_ordinary(r[2])) for r in rows if r[1] == "small" and r[2])  # what three uses of the small source allow
+    drawn, report = mixing.mix(docs, targets.withColumn("target_share", F.when((F.col("mix_id") == 1) & (F.col("source") == "none"), 0.0).otherwise(F.col("target_share"))), block=64, frame=100, size=scarce)
     uses = defaultdict(int)
     for r in drawn.filter("mix_id = 1").collect():
         uses[r.source, r.doc_id] += 1
@@ -107,3 +109,35 @@ def test_offsets_are_running_sums(spark, monkeypatch):
             assert r.before <= at
             at = max(at, r.before + r.n)
         assert at == sum(r.n for r in rows if r.source == source)
+
+
+def test_a_mix_keeps_the_corpus_and_explains_what_is_short(spark):
+    rows = [(i, "big", f"text number {i} " * 10, 0, 0) for i in range(600)] + [(10_000 + i, "other", f"some text {i} " * 12, 0, 0) for i in range(500)] + [(20_000 + i, "tiny", f"rare text {i} " * 9, 0, 0) for i in range(6)] + [(30_000, "speck", "one", 0, 0)]
+    docs = spark.createDataFrame(rows, DOCS)
+    targets = spark.createDataFrame([(1, "big", 0.45, 2), (1, "other", 0.34997, 2), (1, "tiny", 0.1, 4), (1, "gone", 0.1, 9), (1, "speck", 0.00003, 5)], "mix_id int, source string, target_share double, max_repeats int")
+    drawn, report = mixing.mix(docs, targets, block=64)
+    found = {r.source: r for r in report.collect()}
+    sizes = {s: sum(len(tokenizer(VOCABULARY).encode_ordinary(r[2])) for r in rows if r[1] == s) for s in ("big", "other", "tiny", "speck")}
+    whole = sum(sizes.values())
+    assert abs(found["big"].tokens - 0.45 * whole) < 200 and abs(found["other"].tokens - 0.34997 * whole) < 200
+    assert found["tiny"].tokens == 4 * sizes["tiny"] and found["tiny"].max_uses == 4 and found["gone"].tokens == 0
+    assert all(r.met or r.capped for r in found.values()) and found["tiny"].capped and found["gone"].capped and not found["big"].capped
+    assert all(found[s].n_draws > 0 for s in sizes)
+    done, slots = defaultdict(int), [r for r in drawn.orderBy("slot").collect()]
+    for r in slots:
+        if r.source == "speck":  # its only block may wait for 1 / 0.00003 slots, when the others are done
+            continue
+        done[r.source] += r.tokens
+        parts = {"big": 0.45, "other": 0.34997}
+        for s, share in parts.items():
+            assert abs(done[s] - (r.slot + 1) * 64 * share / 0.9) < 64 + 64 + 80  # a block, the slot's own, a document
+    again = mixing.mix(docs.repartition(7), targets, block=64)[0]
+    assert sorted(map(tuple, again.collect())) == sorted(map(tuple, slots))
+
+
+def test_small_shares_are_exact():
+    small = {"a": 0.99997, "b": 0.00003}
+    assert mixing.frame_blocks(small, mixing.frame_slots(small)) == {"a": 99_997, "b": 3}
+    assert mixing.frame_slots({"a": 1.0, "b": 1e-9}) == mixing.FRAME and mixing.frame_slots({"a": 0.5, "b": 0.25, "c": 0.25}) == 4
+    blocks = mixing.frame_blocks({"a": 1.0, "b": 1e-9, "c": 1e-9}, 1000)
+    assert blocks == {"a": 998, "b": 1, "c": 1}
