@@ -30,6 +30,60 @@ def test_evolved_packings_are_valid(sizes, seed):
     assert -(-sum(sizes) // 50) <= len(found.bins) <= len(bins)
 
 
+@settings(max_examples=80, deadline=None)
+@given(st.lists(st.integers(0, 50), min_size=1, max_size=60))
+def test_exact_fits_are_valid(sizes):
+    sizes = sorted(sizes, reverse=True)
+    bins = packing.exact_fit(sizes, 50)
+    assert sorted(i for b in bins for i in b) == list(range(len(sizes))) and all(sum(sizes[i] for i in b) <= 50 for b in bins)
+    assert packing.least_bins(sizes, 50) <= len(bins)
+
+
+def fewest(sizes, capacity):
+    """Bins of an optimal packing, by trying everything."""
+    best = [len(sizes)]
+
+    def place(i, fills):
+        if len(fills) >= best[0]:
+            return
+        if i == len(sizes):
+            best[0] = len(fills)
+            return
+        for b in range(len(fills)):
+            if fills[b] + sizes[i] <= capacity:
+                place(i + 1, [*fills[:b], fills[b] + sizes[i], *fills[b + 1 :]])
+        place(i + 1, [*fills, sizes[i]])
+
+    place(0, [])
+    return best[0]
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.integers(1, 20), min_size=1, max_size=8))
+def test_lower_bound_and_optimum(sizes):
+    sizes = sorted(sizes, reverse=True)
+    optimum = fewest(sizes, 20)
+    assert packing.least_bins(sizes, 20) <= optimum <= len(packing.evolve(sizes, 20, [], 1).bins)
+
+
+def test_evolution_beats_best_fit():
+    import numpy as np
+
+    sizes = sorted((int(x) for x in np.random.default_rng(5).integers(40, 180, 1500)), reverse=True)
+    bins, fills = [], []
+    packing.best_fit(list(range(len(sizes))), sizes, 256, bins, fills)
+    found = packing.evolve(sizes, 256, [], 1)
+    assert packing.least_bins(sizes, 256) <= len(found.bins) < len(bins)
+
+
+def test_packing_does_not_depend_on_partitions(spark):
+    rows = [(i % 700, "s", "word " * (7 * i % 90), 0, 0) for i in range(800)]
+    docs = spark.createDataFrame(rows, DOCS)
+    capacities = spark.createDataFrame([(1, "a", 64), (2, "b", 300)], "capacity_id int, label string, capacity_tokens int")
+    one, other = (sorted(tuple(r) for r in packing.pack(docs.repartition(n), capacities).collect()) for n in (2, 8))
+    assert one == other and len(one) >= 1600
+
+
 def test_crossover_keeps_every_item():
     import numpy as np
 
