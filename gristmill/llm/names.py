@@ -43,7 +43,7 @@ MIN_SIMILARITY = 0.84
 #: Letters of a core whose deletions are its neighbours.
 PREFIX = 16
 #: A word is common if at least this share of a kind's strings have it, and no other word stands first beside it in
-#: more than this share of them; a firm's common words, other than a person's, mostly have a word before them.
+#: more than this share of them; a firm's common words mostly have a word before them, a person's mostly have none.
 COMMON_SHARE, ONE_HEAD = 0.004, 0.5
 
 # Legal forms, states and other words that do not tell firms apart.
@@ -171,7 +171,7 @@ def _typed(token: str, word: str) -> float:
 
 def misspelt(token: str, word: str) -> bool:
     """Whether a token is a long word with one error and another ending, or with one error and a few letters more."""
-    if len(word) >= 5 and 0 < len(token) - len(word) <= 4 and distance(token[: len(word)], word) <= 1:
+    if len(word) >= 5 and 0 < len(token) - len(word) <= 5 and any(distance(token[:n], word) <= 1 for n in range(len(word) - 1, len(word) + 2)):
         return True
     stem = token[:-1]
     return len(stem) >= max(6, 0.6 * len(word)) and any(distance(stem, word[:n]) <= 1 for n in range(len(stem) - 1, len(stem) + 2))
@@ -247,7 +247,7 @@ def company_form(name: str, common: Vocabulary = NO_WORDS) -> Form | None:
             continue
         word = common.read(token) if len(kept) > 1 else None
         joined = common.read(token + after) if after and core else None
-        if joined in common.words and (joined == word or word is None and joined.startswith(token)) and common.read(after) in (None, joined):
+        if joined in common.words and (joined == word or word is None and (joined.startswith(token) or joined.endswith(after) and joined != after)) and common.read(after) in (None, joined):
             trades.append(joined)  # one common word in two parts
             i += 2
             continue
@@ -412,7 +412,7 @@ def common_words(strings: DataFrame) -> dict[str, Vocabulary]:
     sums = [F.count("*").alias("df"), F.count_if(F.col("i") > 0).alias("behind"), F.sum("n").alias("uses"), F.sum(F.when(F.col("i") == 0, F.col("n")).otherwise(0)).alias("ahead")]
     heads = each.groupBy("kind", "w", head.alias("head")).agg(*sums)
     often = heads.groupBy("kind", "w").agg(*[F.sum(c).alias(c) for c in ("df", "behind", "uses", "ahead")], F.max("df").alias("one")).join(totals, "kind")
-    wide = (F.col("df") >= F.col("total") * COMMON_SHARE) & (F.col("one") <= F.col("df") * ONE_HEAD) & ((F.col("kind") != "company") | (F.col("behind") * 2 > F.col("df")))
+    wide = (F.col("df") >= F.col("total") * COMMON_SHARE) & (F.col("one") <= F.col("df") * ONE_HEAD) & F.when(F.col("kind") == "company", F.col("behind") * 2 > F.col("df")).otherwise(F.col("behind") * 2 < F.col("df"))
     known_head = (F.col("kind") == "company") & (F.col("uses") >= F.col("rows") * COMMON_SHARE) & (F.col("ahead") * 2 > F.col("uses"))
     found: dict[str, dict[str, int]] = {}
     first: set[str] = set()

@@ -150,7 +150,7 @@ def test_common_words_are_learned(spark):
 
 def test_given_names_with_an_error_in_the_first_letters_meet(spark):
     names_ = ["Christopher Xobelu", "Shristopher Xobelu", "Hcristopher Xobelu", "Cchristopher Xobelu", "Robert Xobelu"]
-    works = spark.createDataFrame([([((n,),) for n in names_],)], WORKS)
+    works = spark.createDataFrame([([((n,),) for n in [*names_, *names_[:1] * 3]],)], WORKS)
     got = {(r.name_a, r.name_b) for r in names.linked_names(spark.createDataFrame([], JOBS), spark.createDataFrame([], STARTUPS), works).collect()}
     assert got == {(a, b) for a in names_[:4] for b in names_[:4] if a < b}
 
