@@ -2,9 +2,10 @@
 
 A name's candidates are the index and all usable keys that came earlier, whatever was decided
 about them; so each distinct key finds its best earlier key on its own, and entities are the
-roots of these links. Similar keys are found by an exact filter: keys whose longest common
-subsequence ratio reaches the floor differ by so few edits that one of enough segments of
-the shorter occurs unchanged, slightly shifted, in the longer.
+roots of these links. Similar keys are found by an exact filter: of the few letters in which
+keys differ whose longest common subsequence ratio reaches the floor, at most half lie in their
+first halves or at most half in their last ones; without these letters the halves are equal.
+What meets so is thinned out by length and edit distance in the JVM before it is scored.
 
 Cases: null, blank and one-letter keys are unresolved with confidence 0; equal scores go to
 the earlier key; repeated names log each; an empty index and an empty input are fine.
@@ -45,49 +46,58 @@ def token_sort_ratio(a: str, b: str) -> float:
     return 100.0 * 2 * common_subsequence(a, b) / (len(a) + len(b)) if a or b else 100.0
 
 
-def _segments(length: int, floor: float) -> tuple[int, list[tuple[int, int]]]:
-    """Edits that a key of this length, being the shorter, may be away from another, and its segments (start, size)."""
-    longest = math.floor(length * (2 - floor) / floor)
-    edits = math.floor((1 - floor) * (length + longest) + 1e-9)
-    n = min(edits + 1, length)
-    cuts = [length * i // n for i in range(n + 1)]
-    return edits, [(cuts[i], cuts[i + 1] - cuts[i]) for i in range(n)]
+#: Letters at either end of a key that are compared, at most.
+END = 10
 
 
-def signatures(key: str, floor: float) -> tuple[list[int], list[int]]:
-    """(as the shorter, as the longer): hashes of which two keys with this ratio share at least one."""
-    text = " ".join(sorted(key.split()))
-    n = len(text)
-    own = [crc32(f"{n}/{i}/{text[s : s + size]}".encode()) for i, (s, size) in enumerate(_segments(n, floor)[1])]
-    probes = set()
-    for length in range(max(1, math.ceil(n * floor / (2 - floor))), n + 1):
-        edits, segments = _segments(length, floor)
-        for i, (s, size) in enumerate(segments):
-            for at in range(max(0, s - edits), min(n - size, s + edits) + 1):
-                probes.add(crc32(f"{length}/{i}/{text[at : at + size]}".encode()))
-    return own, sorted(probes)
+def longest_partner(length: int, floor: float) -> int:
+    """Letters of the longest key whose ratio with a key of this length can reach the floor."""
+    return math.floor(length * (2 - floor) / floor + 1e-9)
+
+
+def signatures(text: str, floor: float) -> list[int]:
+    """Hashes of which any two texts with this ratio share one.
+
+    Let the shorter have n letters. Both texts lose e letters at most in all, so at most e // 2 of these in their first h
+    letters or in their last h, for any h up to n / 2. The first h letters of both, without as many letters as the one that
+    loses more of them does, have what they share in common. Each text names this for every n that it can meet.
+    """
+    found = set()
+    for n in range(max(1, math.ceil(len(text) * floor / (2 - floor) - 1e-9)), len(text) + 1):
+        h = min(END, n // 2)
+        e = math.floor((1 - floor) * (n + longest_partner(n, floor)) + 1e-9) // 2
+        for side, end in ((0, text[:h]), (1, text[len(text) - h :][::-1])):
+            last = {end}
+            for lost in range(min(e, h) + 1):
+                found |= {crc32(f"{side}{h}/{t}".encode()) for t in last}
+                last = {t[:i] + t[i + 1 :] for t in last for i in range(len(t))} if lost < e else last
+    return sorted(found)
 
 
 def similar_keys(keys: DataFrame, floor: float = REVIEW) -> DataFrame:
     """(key, other, score) for pairs of different keys with a ratio of at least ``floor``, both ways."""
+    share = floor / 100
 
     def sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            both = [signatures(k, floor / 100) for k in batch["key"]]
-            yield pd.DataFrame({"key": batch["key"], "own": [a for a, _ in both], "probes": [b for _, b in both]})
+            yield pd.DataFrame({"key": batch["key"], "text": batch["text"], "sigs": [signatures(t, share) for t in batch["text"]]})
 
-    signed = stage(keys.select("key").mapInPandas(sign, "key string, own array<bigint>, probes array<bigint>"), "key-signatures")
-    short = signed.select(F.col("key").alias("other"), F.explode("own").alias("sig"))
-    long = signed.select("key", F.explode("probes").alias("sig"))
-    met = long.join(short.hint("merge"), "sig").filter("key <> other").select("key", "other").distinct()
+    text = F.array_join(F.array_sort(F.filter(F.split("key", " "), lambda t: t != "")), " ")
+    signed = stage(keys.select("key", text.alias("text")).mapInPandas(sign, "key string, text string, sigs array<bigint>"), "key-signatures")
+    one = signed.select("key", F.col("text").alias("a"), F.explode("sigs").alias("sig"))
+    two = signed.select(F.col("key").alias("other"), F.col("text").alias("b"), F.explode("sigs").alias("sig"))
+    letters, shorter = F.length("a") + F.length("b"), F.least(F.length("a"), F.length("b"))
+    # a subsequence is no longer than the shorter text, and whoever inserts and deletes n letters edits n times at most
+    close = (2 * shorter >= share * letters - 1e-6) & (F.levenshtein("a", "b") <= (1 - share) * letters + 1e-6)
+    met = one.join(two.hint("merge"), "sig").filter("key < other").filter(close).select("key", "other").distinct()
 
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             batch["score"] = [token_sort_ratio(a, b) for a, b in zip(batch["key"], batch["other"], strict=True)]
             yield batch[batch["score"] >= floor]
 
-    found = met.mapInPandas(score, "key string, other string, score double")
-    return found.unionByName(found.select(F.col("other").alias("key"), F.col("key").alias("other"), "score")).distinct()
+    found = stage(met.mapInPandas(score, "key string, other string, score double"), "similar-keys")
+    return found.unionByName(found.select(F.col("other").alias("key"), F.col("key").alias("other"), "score"))
 
 
 def resolve(names: DataFrame, entities: DataFrame | None = None, aliases: DataFrame | None = None, link: float = LINK, create_if_missing: bool = True) -> DataFrame:
