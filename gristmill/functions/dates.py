@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime, timedelta
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -11,9 +11,10 @@ from gristmill.functions.text import strip
 
 # Days of the longer units of a relative date.
 UNIT_SECONDS = {"second": 1, "minute": 60, "hour": 3600, "day": 86400, "week": 7 * 86400, "month": 30 * 86400, "year": 365 * 86400}
+# The two forms of a complete timestamp, and of a relative date.
 _ISO = r"^(\d{4}-\d{2}-\d{2})[Tt ](\d{2}:\d{2})(:\d{2}(?:\.\d+)?)?([Zz]|[+-]\d{2}:?\d{2})$"
 _RFC = r"^(?:[A-Za-z]{3},?\s+)?(\d{1,2})\s+([A-Za-z]{3})\s+(\d{4})\s+(\d{2}:\d{2})(:\d{2})?\s+([+-]\d{4}|GMT|UTC)$"
-_AGO = r"(?i)^\s*(\d+)\s+(second|minute|hour|day|week|month|year)s?\s+ago\s*$"
+_AGO = rf"(?i)^\s*(\d+)\s+({'|'.join(UNIT_SECONDS)})s?\s+ago\s*$"
 
 
 def to_utc(value: Column) -> Column:
@@ -65,9 +66,15 @@ def publication_date(structured: Column, json_ld: Column, meta: Column, time_tag
     return F.coalesce(*steps, *([heuristic] if heuristic is not None else []))
 
 
+def utc_micros(reference: datetime) -> int:
+    """Microseconds since 1970 of a reference time: an aware one in its own zone, a naive one in UTC."""
+    aware = reference.replace(tzinfo=timezone.utc) if reference.tzinfo is None else reference
+    return (aware - datetime(1970, 1, 1, tzinfo=timezone.utc)) // timedelta(microseconds=1)
+
+
 def micros_after(value: Column, reference: datetime) -> Column:
-    """Microseconds from ``reference`` (UTC) to a timestamp."""
-    base = (reference.replace(tzinfo=None) - datetime(1970, 1, 1)) // timedelta(microseconds=1)
+    """Microseconds from ``reference`` to a timestamp."""
+    base = utc_micros(reference)
     return F.unix_micros(value.cast("timestamp")) - F.lit(base)
 
 
@@ -81,6 +88,7 @@ def freshness(value: Column, reference: datetime, window_hours: float = 24, skew
 def freshness_reason(value: Column, reference: datetime, window_hours: float = 24, skew_seconds: float = 60) -> Column:
     """Why a record is not fresh; null where it is."""
     age, state = micros_after(value, reference), freshness(value, reference, window_hours, skew_seconds)
+    # fixed values: the two reasons
     hours = F.format_string("stale_record: published %.1fh before reference_time", F.bround(-age / 3_600_000_000.0, 1))
     ahead = F.format_string("future_dated: published %.0fs ahead of reference_time (exceeds %ss tolerance)", F.bround(age / 1_000_000.0, 0), F.lit(str(int(skew_seconds))))
     return F.when(state == "stale", hours).when(state == "future", ahead)
@@ -92,5 +100,5 @@ def age_hours(value: Column, reference: datetime) -> Column:
 
 def epoch_window(reference: datetime, hours: int = 24) -> tuple[int, int]:
     """First and last whole second of the window before ``reference``."""
-    end = int((reference.replace(tzinfo=None) - datetime(1970, 1, 1)).total_seconds())
+    end = utc_micros(reference) // 1_000_000
     return end - hours * 3600, end

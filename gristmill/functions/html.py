@@ -6,6 +6,7 @@ import html as entities
 import json
 import re
 from collections.abc import Iterator
+from functools import partial
 from html.parser import HTMLParser
 
 import pandas as pd
@@ -22,10 +23,19 @@ META_DATES = [
     ("name", "sailthru.date"),
     ("name", "parsely-pub-date"),
 ]
+# Fields that state when a page was published: label, where it stands, its key there.
+PUBLICATION_FIELDS = [
+    ("json_ld.datePublished", "article", "datePublished"),
+    ("article:published_time", "property", "article:published_time"),
+    ("parsely-pub-date", "name", "parsely-pub-date"),
+    ("datePublished", "itemprop", "datePublished"),
+]
+# Keys of structured data that hold a date, in order of preference.
+JSON_LD_DATES = ["datePublished", "dateCreated"]
 # Types of articles in structured data.
 ARTICLE_TYPES = {"Article", "NewsArticle", "BlogPosting", "ReportageNewsArticle"}
-#: Characters below which a page has no article, and beyond which an article is cut.
-MIN_TEXT, MAX_TEXT = 100, 100_000
+#: Characters below which a page has no article.
+MIN_TEXT = 100
 
 _SKIPPED = {"script", "style", "noscript", "template", "nav", "header", "footer", "aside", "form", "head", "button", "svg"}
 _BLOCKS = {"p", "div", "section", "article", "li", "h1", "h2", "h3", "h4", "h5", "h6", "tr", "blockquote", "pre", "br", "main"}
@@ -121,39 +131,47 @@ def job_posting(source: str | None) -> dict | None:
     return None
 
 
+def _is_article(node: dict) -> bool:
+    kind = node.get("@type")
+    return bool(ARTICLE_TYPES.intersection([kind] if isinstance(kind, str) else (k for k in kind if isinstance(k, str)) if isinstance(kind, list) else ()))
+
+
+def _stated(page: _Page, where: str, key: str) -> list:
+    """What a page states under a key: in an article's structured data, a meta tag's content or a microdata property."""
+    if where == "article":
+        return [node.get(key) for node in json_objects(page.scripts) if _is_article(node)]
+    if where == "itemprop":
+        return page.dated
+    return [tag.get("content") for tag in page.meta if tag.get(where) == key]
+
+
 def page_dates(source: str | None) -> dict:
     """Raw date strings of a page: JSON-LD (top level), first known meta tag, first time tag."""
     page = read_page(source or "")
-    json_ld = next((str(v) for node in json_objects(page.scripts, graphs=False) for v in (node.get("datePublished"), node.get("dateCreated")) if v), None)
-    meta = next((m["content"] for attr, name in META_DATES for m in page.meta if m.get(attr) == name and m.get("content")), None)
-    time = next(((at or text.strip()) or None for at, text in page.times), None)
-    return {"json_ld": json_ld, "meta": meta, "time_tag": time}
+    in_data = [str(node[key]) for node in json_objects(page.scripts, graphs=False) for key in JSON_LD_DATES if node.get(key)]
+    in_meta = [value for where, key in META_DATES for value in _stated(page, where, key)[:1] if value]
+    in_time = [at or shown.strip() for at, shown in page.times[:1]]
+    return {name: next(iter(values), None) or None for name, values in (("json_ld", in_data), ("meta", in_meta), ("time_tag", in_time))}
 
 
 def publication_candidates(source: str | None) -> list[dict]:
     """(field, value) of explicit publication fields in order; never modification or update times."""
     page = read_page(source or "")
-    found = []
-    for node in json_objects(page.scripts):
-        types = node.get("@type", [])
-        types = [types] if isinstance(types, str) else types if isinstance(types, list) else []
-        if any(isinstance(t, str) and t in ARTICLE_TYPES for t in types):
-            found.append({"field": "json_ld.datePublished", "value": node.get("datePublished")})
-    found += [{"field": "article:published_time", "value": m.get("content")} for m in page.meta if m.get("property") == "article:published_time"]
-    found += [{"field": "parsely-pub-date", "value": m.get("content")} for m in page.meta if m.get("name") == "parsely-pub-date"]
-    found += [{"field": "datePublished", "value": v} for v in page.dated]
-    return [f for f in found if isinstance(f["value"], str)]
-
-
-def main_text(source: str | None) -> dict | None:
-    """struct(text, truncated) of a page outside navigation; null below MIN_TEXT characters, never an error."""
+    return [{"field": label, "value": value} for label, where, key in PUBLICATION_FIELDS for value in _stated(page, where, key) if isinstance(value, str)]
+
+
+def main_text(source: str | None, most: int | None = None) -> dict | None:
+    """struct(text, truncated) of a page outside navigation; null below MIN_TEXT characters, never an error.
+
+    most: characters after which the text is cut; by default it stays whole.
+    """
     if not source:
         return None
     lines = (" ".join(line.split()) for line in "".join(read_page(source).text).split("\n"))
     text = "\n".join(line for line in lines if line)
     if len(text) < MIN_TEXT:
         text = re.sub(r"\s+", " ", entities.unescape(re.sub(r"<[^>]+>", " ", re.sub(r"(?is)<(script|style|head)\b.*?</\1>", " ", source)))).strip()
-    return {"text": text[:MAX_TEXT], "truncated": len(text) > MAX_TEXT} if len(text) >= MIN_TEXT else None
+    return {"text": text[:most], "truncated": most is not None and len(text) > most} if len(text) >= MIN_TEXT else None
 
 
 def _frame(rows: list[dict | None], fields: list[str]) -> pd.DataFrame:
@@ -178,8 +196,8 @@ def page_dates_of(page: Column) -> Column:
     return _struct_udf(page_dates, "json_ld string, meta string, time_tag string")(page)
 
 
-def main_text_of(page: Column) -> Column:
-    return _struct_udf(main_text, "text string, truncated boolean")(page)
+def main_text_of(page: Column, most: int | None = None) -> Column:
+    return _struct_udf(partial(main_text, most=most), "text string, truncated boolean")(page)
 
 
 def publication_candidates_of(page: Column) -> Column:

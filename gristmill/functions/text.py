@@ -114,10 +114,14 @@ def ai_title(title: Column) -> Column:
     return F.coalesce(title.rlike(AI_TITLE), F.lit(False))
 
 
+# What stands in place of a secret, and after a prompt that is cut.
+REDACTED, CUT_MARK = "***redacted***", "...(truncated)"
+
+
 def redact(fields: Column) -> Column:
     """Values of a map's secret fields replaced, prompts cut to 200 characters."""
     secret = lambda k: F.lower(k).isin(SECRET_FIELDS)
-    return F.transform_values(fields, lambda k, v: F.when(secret(k), F.lit("***REDACTED***")).when((F.lower(k) == "prompt") & (F.length(v) > 200), F.concat(F.substring(v, 1, 200), F.lit("…"))).otherwise(v))
+    return F.transform_values(fields, lambda k, v: F.when(secret(k), F.lit(REDACTED)).when((F.lower(k) == "prompt") & (F.length(v) > 200), F.concat(F.substring(v, 1, 200), F.lit(CUT_MARK))).otherwise(v))
 
 
 def content_hash(text: Column) -> Column:

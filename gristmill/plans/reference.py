@@ -359,7 +359,7 @@ def jsonld_jobposting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "part").select("p_partkey", found["title"].alias("title"), found["company"].alias("company"), found["posted_at"].alias("posted_at"))
 
 
-@query("""select event_id, '***REDACTED***' as api_key, props as kept from events""")
+@query("""select event_id, '***redacted***' as api_key, props as kept from events""")
 def log_redaction(spark: SparkSession, sf_dir: str) -> DataFrame:
     fields = tx.redact(F.create_map(F.lit("API_Key"), F.col("event_type"), F.lit("props"), F.col("props")))
     return table(spark, sf_dir, "events").select("event_id", fields["API_Key"].alias("api_key"), fields["props"].alias("kept"))
@@ -382,12 +382,25 @@ def entity_resolve(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resolve.resolve(startups.select(F.col("entity_name").alias("raw_name"), F.col("id").substr(3, 20).cast("bigint").alias("ord")))
 
 
-@query()
+# Pairs of keys with the share of their common subsequence, from a table of its lengths with a row for each letter.
+_SCORED = rf"""n as (select id[3:]::bigint as ord, {_KEY.format('entity_name')} as key from startups),
+t as (select key, min(ord) as first_ord, string_split(array_to_string(list_sort(string_split(key, ' ')), ' '), '') as x from n where length(key) >= 2 group by 1),
+p as (select a.key, b.key as other, a.first_ord, b.first_ord as other_ord, a.x, b.x as y from t a join t b on a.key <> b.key and 2 * least(len(a.x), len(b.x)) >= 0.85 * (len(a.x) + len(b.x))),
+w as (select *, list_reduce([list_transform(range(len(y) + 1), lambda j: 0)] || list_transform(x, lambda c: [0] || list_transform(y, lambda d: (c = d)::int)),
+    lambda above, same: list_reduce([[0]] || list_transform(range(1, len(same)), lambda j: [j::int]),
+      lambda row, j: row || [case when same[j[1] + 1] = 1 then above[j[1]] + 1 else greatest(above[j[1] + 1], row[j[1]]) end])) as lengths from p),
+scored as (select key, other, first_ord, other_ord, 100.0 * 2 * lengths[len(y) + 1] / (len(x) + len(y)) as score from w where 200.0 * lengths[len(y) + 1] / (len(x) + len(y)) >= 85)"""
+
+
+@query(f"""with {_SCORED}, best as (select key, max(score) as score from scored where other_ord < first_ord group by 1),
+m as (select case when length(n.key) < 2 then 'unresolved' when coalesce(b.score, 0) >= 92 then case when n.ord = t.first_ord then 'fuzzy' else 'alias' end
+    else case when n.ord = t.first_ord then 'created' else 'normalized_exact' end end as method from n left join t using (key) left join best b using (key))
+select method, count(*) as n from m group by 1""")
 def entity_method_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metrics.method_histogram(entity_resolve(spark, sf_dir))
 
 
-@query()
+@query(f"with {_SCORED} select key, other, round(score, 4) as score from scored where key < other")
 def entity_fuzzy_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     keys = table(spark, sf_dir, "startups").select(tx.normalize_entity_name(F.col("entity_name")).alias("key")).filter(tx.usable_name(F.col("key"))).distinct()
     return resolve.similar_keys(keys).filter("key < other").select("key", "other", F.round("score", 4).alias("score"))
@@ -436,7 +449,7 @@ def llm_fallback_sim(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"select event_id, user_id, event_type from (select *, row_number() over (partition by user_id, event_type order by ts, event_id) as rn from events where {_gate(60)} = 'fresh') where rn = 1")
 def stream_freshness_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     schema = table(spark, sf_dir, "events").schema
-    stream = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+    stream = fresh.table_stream(spark, sf_dir, "events", schema)
     path = new_path(spark, "fresh-events")
     out = fresh.run_available(spark, fresh.fresh_stream(stream, "ts", EVENT_REFERENCE), path, new_path(spark, "fresh-offsets"), ["user_id", "event_type"], ["ts", "event_id"])
     return out.select("event_id", "user_id", "event_type")

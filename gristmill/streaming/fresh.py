@@ -6,11 +6,20 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from gristmill.functions.dates import freshness
 from gristmill.operators.dedup import insert_if_absent
 
 
+def table_stream(spark: SparkSession, folder: str, name: str, schema: StructType) -> DataFrame:
+    """A parquet table of a data folder as a stream, whether it is one file or a folder of parts.
+
+    A stream's path must be a folder or a pattern; this pattern matches the table's own name only.
+    """
+    return spark.readStream.schema(schema).parquet(f"{folder}/[{name[0]}]{name[1:]}.parquet")
+
+
 def fresh_stream(stream: DataFrame, moment: str, reference: datetime, window_hours: float = 24, skew_seconds: float = 60) -> DataFrame:
     """Rows within the window around the run's own reference time. (A watermark follows the data, so it can only bound state.)"""
     return stream.filter(freshness(F.col(moment), reference, window_hours, skew_seconds) == "fresh")

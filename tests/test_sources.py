@@ -108,3 +108,15 @@ def test_stream_equals_batch(spark, tmp_path):
     out = [fresh.run_available(spark, fresh.fresh_stream(stream, "ts", at), str(tmp_path / "out"), str(tmp_path / f"cp{i}"), ["k"], ["ts"]).collect() for i in range(2)]
     assert [[r.i for r in o] for o in out] == [[2], [2]]
     assert fresh.first_seen_stream(stream, ["k"], "ts", "1 hour").isStreaming
+
+
+def test_streams_read_files_and_folders_of_parts(spark, tmp_path):
+    rows = spark.range(100).select("id", F.lit("x").alias("k"))
+    rows.repartition(3).write.parquet(str(tmp_path / "many.parquet"))
+    rows.coalesce(1).write.parquet(str(tmp_path / "tmp"))
+    next((tmp_path / "tmp").glob("part-*")).rename(tmp_path / "one.parquet")
+    rows.limit(5).write.parquet(str(tmp_path / "one.parquet-old"))
+    for name in ("many", "one"):
+        stream = fresh.table_stream(spark, str(tmp_path), name, rows.schema)
+        out = fresh.run_available(spark, stream, str(tmp_path / f"out-{name}"), str(tmp_path / f"at-{name}"), ["id"], ["id"])
+        assert out.count() == 100
