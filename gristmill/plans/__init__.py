@@ -1,8 +1,8 @@
 """The registered queries of the core and their SQL."""
 
-from gristmill.plans import nested, pipelines, reference
+from gristmill.plans import nested, pipelines, reference, runs
 
-MODULES = [nested, pipelines, reference]
+MODULES = [nested, pipelines, reference, runs]
 
 
 def queries() -> dict:

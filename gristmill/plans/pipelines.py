@@ -172,7 +172,7 @@ _JOBS = "with " + _routed(
     JOBS_SKEW,
     "2026-06-01 00:00:00",
 )
-JOBS_SQL = _JOBS
+JOBS_SQL, NEWS_SQL = _JOBS, _NEWS
 _COUNTERS = ", ".join(f"count(*) filter (status = '{s}') as {s}" for s in metrics.STATUSES) + ", count(*) filter (status in ('invalid', 'stale', 'future_dated', 'extraction_failed')) as rejected"
 
 ORACLES = {

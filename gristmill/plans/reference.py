@@ -382,14 +382,20 @@ def entity_resolve(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resolve.resolve(startups.select(F.col("entity_name").alias("raw_name"), F.col("id").substr(3, 20).cast("bigint").alias("ord")))
 
 
-# Pairs of keys with the share of their common subsequence, from a table of its lengths with a row for each letter.
-_SCORED = rf"""n as (select id[3:]::bigint as ord, {_KEY.format('entity_name')} as key from startups),
-t as (select key, min(ord) as first_ord, string_split(array_to_string(list_sort(string_split(key, ' ')), ' '), '') as x from n where length(key) >= 2 group by 1),
+# Pairs of keys (of a CTE n: ord, key) with the share of their common subsequence, from a table of its lengths with a row for each letter.
+_PAIRS = """t as (select key, min(ord) as first_ord, string_split(array_to_string(list_sort(string_split(key, ' ')), ' '), '') as x from n where length(key) >= 2 group by 1),
 p as (select a.key, b.key as other, a.first_ord, b.first_ord as other_ord, a.x, b.x as y from t a join t b on a.key <> b.key and 2 * least(len(a.x), len(b.x)) >= 0.85 * (len(a.x) + len(b.x))),
 w as (select *, list_reduce([list_transform(range(len(y) + 1), lambda j: 0)] || list_transform(x, lambda c: [0] || list_transform(y, lambda d: (c = d)::int)),
     lambda above, same: list_reduce([[0]] || list_transform(range(1, len(same)), lambda j: [j::int]),
       lambda row, j: row || [case when same[j[1] + 1] = 1 then above[j[1]] + 1 else greatest(above[j[1] + 1], row[j[1]]) end])) as lengths from p),
 scored as (select key, other, first_ord, other_ord, 100.0 * 2 * lengths[len(y) + 1] / (len(x) + len(y)) as score from w where 200.0 * lengths[len(y) + 1] / (len(x) + len(y)) >= 85)"""
+_SCORED = f"n as (select id[3:]::bigint as ord, {_KEY.format('entity_name')} as key from startups),\n{_PAIRS}"
+# The root of every key's links to earlier similar keys, and its identifier; to be used with ``with recursive``.
+_ROOTS = f"""{_PAIRS}, best as (select key, arg_max(other, (score, -other_ord)) as parent, max(score) as score from scored where other_ord < first_ord group by 1),
+link as (select t.key, case when b.score >= 92 then b.parent else t.key end as parent from t left join best b using (key)),
+walk as (select key, parent as root from link union select walk.key, l.parent from walk join link l on l.key = walk.root),
+roots as (select walk.key, root, sha256('entity' || root) as h from walk join link l on l.key = walk.root where l.parent = l.key),
+entity as (select key, root, h[1:8] || '-' || h[9:12] || '-' || h[13:16] || '-' || h[17:20] || '-' || h[21:32] as canonical_entity_id from roots)"""
 
 
 @query(f"""with {_SCORED}, best as (select key, max(score) as score from scored where other_ord < first_ord group by 1),
@@ -522,3 +528,58 @@ r as (select page_id, pos1::int as pos1, {_SQUASH.format("hit->>'$.name'")} as e
     when json_type(hit, '$.team_size') = 'VARCHAR' and regexp_full_match(trim(hit->>'$.team_size'), '\d{{1,10}}') then try_cast(trim(hit->>'$.team_size') as int) end as employee_count from h)
 select page_id, pos1, entity_name, 'https://yc.example/companies/' || slug as source_url, employee_count from (
   select *, row_number() over (partition by slug order by page_id, pos1) as rn from r where entity_name <> '' and slug <> '' and not contains(slug, '/')) where rn = 1"""
+
+ORACLES["entity_resolve"] = f"""with recursive n as (select id[3:]::bigint as ord, coalesce({_KEY.format('entity_name')}, '') as key, entity_name from startups), {_ROOTS},
+m as (select n.*, entity.canonical_entity_id, best.parent, best.score, case when length(key) < 2 then 'unresolved' when coalesce(best.score, 0) >= 92 then case when n.ord = t.first_ord then 'fuzzy' else 'alias' end
+    else case when n.ord = t.first_ord then 'created' else 'normalized_exact' end end as method from n left join t using (key) left join best using (key) left join entity using (key))
+select case when trim(coalesce(entity_name, '')) = '' then '(empty)' else entity_name[:250] end as raw_name, ord, key as normalized_name, canonical_entity_id as canonical_id, method,
+  case method when 'unresolved' then 0.0 when 'alias' then 0.99 when 'fuzzy' then round_even(score / 100, 4) else 1.0 end::double as confidence,
+  case when method = 'created' and score < 92 then printf('%s (%.1f)', parent, score) end as review_candidate from m"""
+
+_JOB_NAMES = f"""{pipelines.JOBS_SQL.replace('with ', 'with recursive ', 1)},
+n as (select id, row_number() over (order by collected_at, id) as ord, {_KEY.format('company')} as key from routed where status in ('inserted', 'duplicate')), {_ROOTS}"""
+
+ORACLES["pipeline_jobs_entities"] = f"""{_JOB_NAMES}
+select source_name, url, company, moment as posted_at, entity.canonical_entity_id from routed join n using (id) left join entity using (key) where status = 'inserted'"""
+
+_PRODUCTS = f"""p as (select id, source_name, source_url, ord as o, coalesce(list_position({pipelines.PRODUCT_ORDER}, source_name), {len(pipelines.PRODUCT_ORDER) + 1}) as rank,
+    trim(data->>'$.product_name') as product_name, trim(data->>'$.startup_name') as startup_name, lower(trim(data->>'$.product_name')) as dedup_key
+  from parsed_records where record_type = 'product' and json_valid(data)),
+v as (select *, {_NON_BLANK.format('startup_name')} and {_HTTP.format('source_url')} as ok from p),
+u as (select *, row_number() over (partition by source_url order by rank, o, id) as r1 from v where ok),
+d as (select id, row_number() over (partition by dedup_key order by rank, o, id) as r2 from u where r1 = 1 and dedup_key is not null),
+kept as (select u.* from u left join d using (id) where r1 = 1 and (dedup_key is null or r2 = 1))"""
+
+ORACLES["pipeline_products_entities"] = f"""with recursive {_PRODUCTS.replace('p as (', 'pr as (', 1).replace(' from p)', ' from pr)')},
+n as (select id, row_number() over (order by rank, o, id) as ord, {_KEY.format('startup_name')} as key from kept), {_ROOTS}
+select source_name, source_url, product_name, startup_name, canonical_entity_id from kept join n using (id) left join entity using (key)"""
+
+ORACLES["pipeline_news_provenance"] = f"""{pipelines.NEWS_SQL}, i as (select *, sha256(full_text_location) as content_hash from routed where status = 'inserted')
+select source_name, url, moment as published_at, content_hash, first_value(url) over (partition by content_hash order by collected_at, id) as first_url from i"""
+
+
+def _messages(*rules: tuple[str, str]) -> str:
+    """The messages of broken rules, joined. rules: (condition, message)."""
+    each = ", ".join(f"case when not coalesce({condition}, false) then '{message}' end" for condition, message in rules)
+    return f"array_to_string(list_filter([{each}], lambda m: m is not null), '; ')"
+
+
+def _filled(*names: str) -> list[tuple[str, str]]:
+    return [(_NON_BLANK.format(n), f"{n}: must not be blank") for n in names]
+
+
+_URL_RULE = (_HTTP.format("url"), "url: must be an http(s) URL")
+_NEWS_ERRORS = _messages(*_filled("title", "source_name", "full_text_location"), _URL_RULE, ("moment is not null", "published_at: must be a complete timestamp with zone"))
+_JOB_ERRORS = _messages(*_filled("title", "company", "source_name"), _URL_RULE, ("moment is not null", "posted_at: must be a timestamp"))
+_PRODUCT_ERRORS = _messages(*_filled("startup_name"), (_HTTP.format("source_url"), "source_url: must be an http(s) URL"))
+ORACLES["pipeline_errors"] = f"""select 'news-1' as crawl_run_id, source_name, url, 'validation_error' as error_category, {_NEWS_ERRORS} as message from ({pipelines.NEWS_SQL} select * from routed where status = 'invalid')
+union all select 'jobs-1', source_name, url, 'validation_error', {_JOB_ERRORS} from ({pipelines.JOBS_SQL} select * from routed where status = 'invalid')
+union all select 'products-1', source_name, source_url, 'ValidationError', {_PRODUCT_ERRORS} from (with {_PRODUCTS} select * from v where not ok)"""
+
+ORACLES["pipeline_rerun"] = f"""{_JOB_NAMES},
+news_routed as ({pipelines.NEWS_SQL} select * from routed),
+c as (select 'jobs' as tbl, count(*) as n from routed where status = 'inserted' union all select 'news', count(*) from news_routed where status = 'inserted'
+  union all select 'raw_documents', count(distinct full_text_location) from news_routed where status = 'inserted' union all select 'canonical_entities', count(*) from link where key = parent
+  union all select 'entity_aliases', count(*) from link where key <> parent union all select 'entity_mapping_log', count(*) from n
+  union all select 'processing_errors', (select count(*) from routed where status = 'invalid') + (select count(*) from news_routed where status = 'invalid'))
+select run::int as run, tbl, n from c, range(1, 3) r(run)"""

@@ -9,7 +9,7 @@ TABLES = {
     "raw_documents": "source_name string, source_url string, canonical_url string, retrieved_at timestamp, http_status int, content_hash string, raw_content_location string, extraction_status string, publication_date_candidates map<string,string>, crawl_run_id string",
     "canonical_entities": "canonical_name string, normalized_name string, entity_type string, created_at timestamp",
     "entity_aliases": "canonical_entity_id string, alias string, normalized_alias string",
-    "entity_mapping_log": "raw_name string, normalized_name string, canonical_name string, canonical_entity_id string, method string, confidence double, source_url string, review_candidate string, created_at timestamp",
+    "entity_mapping_log": "crawl_run_id string, raw_name string, normalized_name string, canonical_name string, canonical_entity_id string, method string, confidence double, source_url string, review_candidate string, created_at timestamp",
     "processing_errors": "crawl_run_id string, source_name string, url string, error_category string, message string, context map<string,string>, created_at timestamp",
     "llm_requests": "provider string, model string, request_id string, source_url string, record_type string, input_size_chars int, estimated_tokens int, output_size_chars int, latency_ms int, status string, retry_count int, fallback_used boolean, error_type string, created_at timestamp",
     "sources": "name string, vertical string, base_url string, discovery_mechanism string, enabled boolean, created_at timestamp",

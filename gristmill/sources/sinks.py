@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gristmill.functions.text import deterministic_id
@@ -34,14 +34,21 @@ class Store:
             rows = rows.filter(F.col(column) == value)
         return not rows.isEmpty()
 
+    @staticmethod
+    def id_of(table: str, *keys: str) -> Column:
+        """The identifier of a table's row by its natural key."""
+        return deterministic_id(F.lit(table), *[F.col(k) for k in keys])
+
     def upsert(self, table: str, rows: DataFrame, order: list) -> int:
-        """Appends the first row of each key that the table lacks; the number of rows appended."""
+        """Appends the first row of each key that the table lacks; the number of rows appended. Rows without an identifier of
+        their own get that of their key."""
         keys = NATURAL_KEYS[table]
         new = insert_if_absent(rows, self.read(table), keys, order)
         if table == "products":  # a second key that is unique where it is not null
             seen = self.read(table).filter("dedup_key is not null").select("dedup_key").distinct()
             new = new.filter("dedup_key is null").unionByName(insert_if_absent(new.filter("dedup_key is not null"), seen, ["dedup_key"], order))
-        new = new.withColumn("id", deterministic_id(F.lit(table), *[F.col(k) for k in keys]))
+        if "id" not in new.columns:
+            new = new.withColumn("id", self.id_of(table, *keys))
         columns = [c.split()[0] for c in _columns(ddl(table))]
         shaped = stage(new.select(*[F.col(c) if c in new.columns else F.lit(None).alias(c) for c in columns]).to(self.read(table).schema), f"append-{table}")
         n = shaped.count()
@@ -55,6 +62,12 @@ class Store:
         shaped.to(self.read(table).schema).write.mode("append").parquet(self.path(table))
 
 
+    def append_run(self, table: str, rows: DataFrame, run: str) -> None:
+        """Appends a run's rows, unless the run has rows there already."""
+        if self.read(table).filter(F.col("crawl_run_id") == run).isEmpty():
+            self.append(table, rows.withColumn("crawl_run_id", F.lit(run)))
+
+
 def _columns(schema: str) -> list[str]:
     out, depth, start = [], 0, 0
     for i, c in enumerate(schema + ","):
