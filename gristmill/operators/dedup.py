@@ -64,6 +64,20 @@ def capped_per_group(df: DataFrame, group: list[str], order: list[str | Column],
     return df.withColumn("_rank", rank).filter(F.col("_rank") <= limit).drop("_rank")
 
 
+def discovered(df: DataFrame, source: str, unit: str, order: list[str | Column], max_items: int) -> DataFrame:
+    """The units that a run of each source discovers, flagged ``first`` where they are new.
+
+    Repeats count towards ``max_items``, but a run ends only at a new unit: the first one from there on. The unit at that
+    number comes from a top k that is cut before the shuffle, the end from partial aggregates.
+    """
+    flagged = mark_first(df, [source, unit], order, "first").withColumn("_at", F.struct(*order))
+    top = capped_per_group(flagged.select(source, "_at"), [source], ["_at"], max_items).groupBy(F.col(source).alias("_s")).agg(F.max("_at").alias("_reached"), F.count("*").alias("_n"))
+    reached = top.filter(F.col("_n") >= max_items)
+    ends = flagged.filter("first").join(reached, F.col(source).eqNullSafe(F.col("_s"))).filter(F.col("_at") >= F.col("_reached")).groupBy("_s").agg(F.min("_at").alias("_end"))
+    joined = flagged.join(ends, F.col(source).eqNullSafe(F.col("_s")), "left")
+    return joined.filter(F.col("_end").isNull() | (F.col("_at") <= F.col("_end"))).drop("_at", "_s", "_end")
+
+
 def latest(df: DataFrame, group: list[str], order: list[Column], value: Column, name: str) -> DataFrame:
     """The value of each group's last row, by a partial aggregate."""
     return df.groupBy(*group).agg(F.max_by(value, F.struct(*order)).alias(name))

@@ -1,12 +1,16 @@
 """Requests to providers with chunking, retries and fallback; the providers are plain callables.
 
-``Provider.ask(system, payload)`` returns a JSON text or raises one of the errors below. All
-attempts become rows, so that what was tried can be counted afterwards.
+``Provider.ask(system, payload)`` returns a JSON text or raises one of the errors below. A provider
+that is rate-limited or not reached is asked again and then passed over; refused credentials end
+the request, as the next provider would hide them. All attempts become rows, so that what was
+tried can be counted afterwards.
 """
 
 from __future__ import annotations
 
 import json
+import math
+import time
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -52,39 +56,60 @@ class Provider:
 class Attempt:
     provider: str
     model: str
-    input_chars: int
+    input_size_chars: int
+    estimated_tokens: int
+    output_size_chars: int | None
+    latency_ms: int
     status: str
     retry_count: int
     fallback_used: bool
     error_type: str | None
 
 
-def ask_in_turn(providers: list[Provider | None], system: str, payload: str, max_retries: int, log: list[Attempt]) -> str:
-    """The first provider that answers; missing ones are skipped, but count for whether a fallback was used."""
+OnRetry = Callable[[int, RequestError], None]
+
+
+def backoff(base_s: float = 1.0, most_s: float = 60.0) -> OnRetry:
+    """Waits before a retry: twice as long each time, up to a bound."""
+    return lambda retry, _: time.sleep(min(most_s, base_s * 2 ** (retry - 1)))
+
+
+def ask_in_turn(providers: list[Provider | None], system: str, payload: str, max_retries: int, log: list[Attempt], on_retry: OnRetry | None = None) -> str:
+    """The first provider that answers; missing ones are skipped, but count for whether a fallback was used.
+
+    on_retry: called before each retry with its number and the error; ``backoff()`` waits there.
+    """
     for index, provider in enumerate(providers):
         if provider is None:
             continue
         for retry in range(max_retries + 1):
-            attempt = lambda status, error=None, p=provider, r=retry, i=index: Attempt(p.name, p.model, len(payload), status, r, i > 0, error)
+            began, tokens = time.perf_counter(), math.ceil(len(payload) / 4)
+
+            def attempt(status: str, answer: str | None = None, error: RequestError | None = None, p=provider, r=retry, i=index, t=began, n=tokens) -> Attempt:
+                took = int(1000 * (time.perf_counter() - t))
+                return Attempt(p.name, p.model, len(payload), n, None if answer is None else len(answer), took, status, r, i > 0, type(error).__name__ if error else None)
+
             try:
                 answer = provider.ask(system, payload)
-                log.append(attempt("success"))
+                log.append(attempt("success", answer))
                 return answer
             except RequestError as error:
-                log.append(attempt("error", type(error).__name__))
-                if isinstance(error, PayloadTooLarge):
+                log.append(attempt("error", error=error))
+                if isinstance(error, (PayloadTooLarge, NotAuthenticated)):
                     raise
                 if not error.retryable:
                     break
+                if on_retry and retry < max_retries:
+                    on_retry(retry + 1, error)
     raise AllProvidersFailed
 
 
-def generate(providers: list[Provider | None], system: str, payload: str, token_budget: int, max_retries: int, log: list[Attempt]) -> list[str]:
+def generate(providers: list[Provider | None], system: str, payload: str, token_budget: int, max_retries: int, log: list[Attempt], on_retry: OnRetry | None = None) -> list[str]:
     """Answers for the chunks of a payload; a chunk that is too large for a provider is halved."""
 
     def one(chunk: str) -> list[str]:
         try:
-            return [ask_in_turn(providers, system, chunk, max_retries, log)]
+            return [ask_in_turn(providers, system, chunk, max_retries, log, on_retry)]
         except PayloadTooLarge:
             if len(chunk) <= 1:
                 raise
@@ -93,9 +118,9 @@ def generate(providers: list[Provider | None], system: str, payload: str, token_
     return [a for chunk in chunk_text(payload, token_budget * 4) for a in one(chunk)]
 
 
-def run_requests(df: DataFrame, row_id: str, payload: str, make_providers: Callable[[], list[Provider | None]], system: str = "", token_budget: int = 1000, max_retries: int = 2) -> DataFrame:
+def run_requests(df: DataFrame, row_id: str, payload: str, make_providers: Callable[[], list[Provider | None]], system: str = "", token_budget: int = 1000, max_retries: int = 2, on_retry: OnRetry | None = None) -> DataFrame:
     """(row_id, answers, failed, attempts) for every payload; providers are made once per task."""
-    attempt = "array<struct<provider string, model string, input_chars int, status string, retry_count int, fallback_used boolean, error_type string>>"
+    attempt = "array<struct<provider string, model string, input_size_chars int, estimated_tokens int, output_size_chars int, latency_ms int, status string, retry_count int, fallback_used boolean, error_type string>>"
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         providers = make_providers()
@@ -104,7 +129,7 @@ def run_requests(df: DataFrame, row_id: str, payload: str, make_providers: Calla
             for key, text in zip(batch["row_id"], batch["payload"], strict=True):
                 log: list[Attempt] = []
                 try:
-                    answers, failed = generate(providers, system, text or "", token_budget, max_retries, log), None
+                    answers, failed = generate(providers, system, text or "", token_budget, max_retries, log, on_retry), None
                 except RequestError as error:
                     answers, failed = [], type(error).__name__
                 out.append((key, answers, failed, [vars(a) for a in log]))
@@ -115,8 +140,8 @@ def run_requests(df: DataFrame, row_id: str, payload: str, make_providers: Calla
 
 
 def attempt_rows(ran: DataFrame) -> DataFrame:
-    """One row per attempt, in order."""
-    return ran.select("row_id", F.posexplode("attempts").alias("attempt_no", "a")).select("row_id", "attempt_no", "a.*")
+    """One row per attempt, in order: rows of the request table, the payload's identifier being the request's."""
+    return ran.select("row_id", F.posexplode("attempts").alias("attempt_no", "a")).select(F.col("row_id").alias("request_id"), "attempt_no", "a.*")
 
 
 def unwrap_answer(body: Column, style: str, schema: str) -> Column:

@@ -444,14 +444,66 @@ def _sim_providers():
     return [first, None, second]
 
 
-@query("""select doc_id::varchar as row_id, case when doc_id % 3 <> 2 and doc_id % 7 = 0 then 'AllProvidersFailed' end as failed,
-  ((case doc_id % 3 when 0 then 3 else 1 end) + (case when doc_id % 3 = 2 then 0 when doc_id % 7 = 0 then 3 else 1 end))::int as n_attempts from documents""")
+@query("""select doc_id::varchar as row_id, case when doc_id % 3 = 1 then 'NotAuthenticated' when doc_id % 3 = 0 and doc_id % 7 = 0 then 'AllProvidersFailed' end as failed,
+  (case when doc_id % 3 > 0 then 1 when doc_id % 7 = 0 then 6 else 4 end)::int as n_attempts from documents""")
 def llm_fallback_sim(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", F.col("doc_id").cast("string").alias("payload"))
     ran = requests.run_requests(docs, "doc_id", "payload", _sim_providers)
     return ran.select("row_id", "failed", F.size("attempts").alias("n_attempts"))
 
 
+@query("""with d as (select doc_id::varchar as request_id, doc_id % 3 as a, doc_id % 7 = 0 as b from documents),
+e as (select *, unnest(range(case when a > 0 then 1 when b then 6 else 4 end)) as k from d)
+select request_id, k::int as attempt_no, case when k < 3 then 'first' else 'second' end as provider, case when a = 2 or k = 3 and not b then 'success' else 'error' end as status, (k % 3)::int as retry_count, k >= 3 as fallback_used,
+  case when a = 1 then 'NotAuthenticated' when a = 0 and k < 3 then 'RateLimited' when a = 0 and b then 'NetworkFailed' end as error_type, length(request_id)::int as input_size_chars,
+  ceil(length(request_id) / 4.0)::int as estimated_tokens, case when a = 2 or k = 3 and not b then length('{"chars": ' || length(request_id) || '}')::int end as output_size_chars from e""")
+def llm_attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.col("doc_id").cast("string").alias("payload"))
+    return requests.attempt_rows(requests.run_requests(docs, "doc_id", "payload", _sim_providers)).drop("model", "latency_ms")
+
+
+# --- sources: bodies, statuses, bounds --------------------------------------------------------
+
+
+@query(f"""select id, {_SQUASH.format("coalesce(nullif(title, ''), display_name)")} as title, case when regexp_matches(trim(doi), '^https?://') then trim(doi)
+    when regexp_matches(trim(primary_location.landing_page_url), '^https?://') then trim(primary_location.landing_page_url) else trim(id) end as paper_url
+  from openalex_works where {_NON_BLANK.format("coalesce(nullif(title, ''), display_name)")} and regexp_matches(trim(id), '^https?://')""")
+def openalex_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each work written as a captured body of one result beside things that are no works, and read again."""
+    works = table(spark, sf_dir, "openalex_works").drop("retrieved_at")
+    body = F.concat(F.lit('{"meta": {"count": 1}, "results": [3, null, "x", '), F.to_json(F.struct("*")), F.lit("]}"))
+    pages = works.select(F.col("id").alias("source_name"), F.lit("").alias("url"), F.lit(0).alias("ord"), body.alias("text"))
+    return payloads.openalex_papers(payloads.work_bodies(pages)).select(F.col("source_name").alias("id"), "title", "paper_url")
+
+
+@query("""select source_name, source_url as url, 'ParsingError' as error_category, 'HTTP ' || coalesce(http_status::varchar, 'none') || ' from ' || source_url as message
+  from raw_documents where http_status is distinct from 200""")
+def status_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "raw_documents").select("source_name", F.col("source_url").alias("url"), F.col("http_status").alias("status_code"))
+    return payloads.status_errors(rows)
+
+
+@query(f"""with u as (select id, source_name, {_NORMAL} as n, row_number() over (partition by source_name order by retrieved_at, id) as k from raw_documents),
+d as (select *, row_number() over (partition by source_name, n order by k) = 1 as first from u),
+s as (select source_name, min(k) as stop from d where first and k >= 7 group by 1)
+select id, source_name, first from d left join s using (source_name) where k <= coalesce(stop, k)""")
+def discovery_cap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """At most 7 discovered units of each source, repeats counted; a run stops at a unit that is new."""
+    rows = table(spark, sf_dir, "raw_documents").withColumn("unit", urls.normalize_url(F.col("source_url")))
+    return dedup.discovered(rows, "source_name", "unit", ["retrieved_at", "id"], 7).select("id", "source_name", "first")
+
+
+@query("""with b as (select page_id, body::json j from api_pages where source_name = 'yc_directory' and json_valid(body)),
+h as (select page_id, unnest(hits) hit, unnest(range(len(hits))) pos1 from (select page_id, case when json_type(j, '$.hits') = 'ARRAY' then json_extract(j, '$.hits[*]')
+    when json_type(j, '$.results') = 'ARRAY' then json_extract(j, '$.results[*].hits[*]') else [] end hits from b))
+select page_id, pos1::int as pos1, hit->>'$.batch' as batch from h where json_type(hit, '$.tags') = 'ARRAY' and json_type(hit, '$.batch') = 'VARCHAR'
+  and list_has_any(json_extract_string(hit, '$.tags[*]'), ['Artificial Intelligence', 'Robotics']) and hit->>'$.batch' like 'Spring %'""")
+def tag_and_batch_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    hits = shapes.page_hits(table(spark, sf_dir, "api_pages").filter("source_name = 'yc_directory'"))
+    kept = payloads.tagged_in(hits, ["Artificial Intelligence", "Robotics"], lambda batch: batch.like("Spring %"))
+    return kept.select("page_id", "pos1", payloads.batch_of("hit").alias("batch"))
+
+
 @query(f"select event_id, user_id, event_type from (select *, row_number() over (partition by user_id, event_type order by ts, event_id) as rn from events where {_gate(60)} = 'fresh') where rn = 1")
 def stream_freshness_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     schema = table(spark, sf_dir, "events").schema

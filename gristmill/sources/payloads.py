@@ -6,7 +6,7 @@ Items without their required fields are left out; positions keep the first of re
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from xml.etree import ElementTree
 
 import pandas as pd
@@ -113,10 +113,41 @@ def author_names(authorships: Column) -> Column:
     return F.filter(names, lambda n: n.isNotNull() & (n != ""))
 
 
+_WORK = (
+    "id string, doi string, title string, display_name string, publication_date string, "
+    "authorships array<struct<author struct<id string, display_name string, orcid string>>>, primary_location struct<landing_page_url string>"
+)
+
+
+def work_bodies(pages: DataFrame) -> DataFrame:
+    """Typed works of captured bodies, for ``openalex_papers``; elements that are no objects are left out. Bodies without a list
+    are ``broken(pages, "$.results")``."""
+    items = json_items(pages, "$.results")
+    return items.select("source_name", "url", "ord", "pos", F.from_json(F.expr("to_json(item)"), _WORK).alias("w")).select("source_name", "url", "ord", "pos", "w.*")
+
+
+def status_errors(pages: DataFrame) -> DataFrame:
+    """(source_name, url, error_category, message) of pages whose status_code is not 200; a missing one counts as such."""
+    message = F.concat(F.lit("HTTP "), F.coalesce(F.col("status_code").cast("string"), F.lit("none")), F.lit(" from "), F.col("url"))
+    return pages.filter(~F.col("status_code").eqNullSafe(F.lit(200))).select("source_name", "url", F.lit("ParsingError").alias("error_category"), message.alias("message"))
+
+
+def batch_of(hit: str) -> Column:
+    return F.expr(f"case when schema_of_variant(try_variant_get({hit}, '$.batch', 'variant')) = 'STRING' then try_variant_get({hit}, '$.batch', 'string') end")
+
+
+def tagged_in(hits: DataFrame, tags: list[str], in_batch: Callable[[Column], Column]) -> DataFrame:
+    """Hits with any of the tags and a batch that meets a condition; hits without a list of tags or a batch have none."""
+    theirs = F.expr("try_variant_get(hit, '$.tags', 'array<string>')")
+    return hits.filter(F.coalesce(F.arrays_overlap(theirs, F.array(*[F.lit(t) for t in tags])), F.lit(False)) & F.coalesce(in_batch(batch_of("hit")), F.lit(False)))
+
+
 def openalex_papers(works: DataFrame) -> DataFrame:
-    """works: typed rows as delivered. The address is the DOI, else the landing page, else the identifier."""
+    """works: typed rows as delivered, other columns are kept. The address is the DOI, else the landing page, else the identifier."""
     url = urls.first_http(F.col("doi"), F.col("primary_location.landing_page_url"), F.col("id"))
+    own = {"id", "doi", "title", "display_name", "authorships", "primary_location", "publication_date"}
     rows = works.select(
+        *[c for c in works.columns if c not in own],
         tx.squash_spaces(F.coalesce(tx.blank_to_null(F.col("title")), F.col("display_name"))).alias("title"),
         author_names(F.col("authorships")).alias("authors"),
         url.alias("paper_url"),

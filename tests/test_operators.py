@@ -7,6 +7,8 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from gristmill.operators import allocate, chunks, dedup, enrich, metrics, provenance, requests, resolve, validate
+from gristmill.settings import Settings
+from gristmill.sources import payloads
 
 
 def test_first_wins_and_flags(spark):
@@ -171,13 +173,17 @@ def test_requests():
     log = []
     too_large = requests.echo_provider("p", lambda t: requests.PayloadTooLarge() if len(t) > 2 else None)
     assert len(requests.generate([too_large], "", "abcd", 100, 0, log)) == 2
-    assert [a.input_chars for a in log] == [4, 2, 2]
+    assert [(a.input_size_chars, a.estimated_tokens) for a in log] == [(4, 1), (2, 1), (2, 1)]
     log = []
     flaky = requests.echo_provider("a", lambda t: requests.RateLimited())
     locked = requests.echo_provider("b", lambda t: requests.NotAuthenticated())
     good = requests.echo_provider("c", lambda t: None)
-    assert requests.generate([flaky, None, locked, good], "", "x", 10, 1, log) == ['{"chars": 1}']
-    assert [(a.provider, a.status, a.retry_count, a.fallback_used) for a in log] == [("a", "error", 0, False), ("a", "error", 1, False), ("b", "error", 0, True), ("c", "success", 0, True)]
+    waits = []
+    assert requests.generate([flaky, None, good], "", "x", 10, 1, log, lambda retry, error: waits.append((retry, type(error).__name__))) == ['{"chars": 1}']
+    assert [(a.provider, a.status, a.retry_count, a.fallback_used, a.output_size_chars) for a in log] == [("a", "error", 0, False, None), ("a", "error", 1, False, None), ("c", "success", 0, True, 12)]
+    assert waits == [(1, "RateLimited")] and all(a.latency_ms >= 0 for a in log)
+    with pytest.raises(requests.NotAuthenticated):  # refused credentials end the request
+        requests.generate([flaky, locked, good], "", "x", 10, 0, [])
     with pytest.raises(requests.AllProvidersFailed):
         requests.generate([flaky], "", "x", 10, 0, [])
     assert requests.generate([good], "", "", 10, 0, []) == []
@@ -187,3 +193,26 @@ def test_answers(spark):
     bodies = [('{"choices":[{"message":{"content":"{\\"a\\": 1}"}}]}',), ('{"choices":[]}',), ('{"choices":[{"message":{"content":"nope"}}]}',)]
     got = spark.createDataFrame(bodies, "b string").select(requests.unwrap_answer(F.col("b"), "choices", "a int").alias("r")).collect()
     assert [(r.r.value and r.r.value.a, r.r.error) for r in got] == [(1, None), (None, "ParsingError"), (None, "ParsingError")]
+
+
+def test_discovered_units(spark):
+    rows = [("s", u, i) for i, u in enumerate("aabacbbdde")] + [("t", "x", 1), (None, "y", 1), (None, "y", 2)]
+    got = dedup.discovered(spark.createDataFrame(rows, "source string, unit string, i int"), "source", "unit", ["i"], 4).collect()
+    assert sorted(r.i for r in got if r.source == "s") == [0, 1, 2, 3, 4]  # four units with repeats, then on to the next new one
+    assert sum(r.first for r in got if r.source == "s") == 3 and [(r.i, r.first) for r in got if r.source == "t"] == [(1, True)]
+    assert sorted((r.i, r.first) for r in got if r.source is None) == [(1, True), (2, False)]
+    assert dedup.discovered(spark.createDataFrame([], "source string, unit string, i int"), "source", "unit", ["i"], 4).count() == 0
+
+
+def test_settings(monkeypatch):
+    assert Settings.from_env({}).clock_skew_seconds == 60
+    got = Settings.from_env({"GRISTMILL_CLOCK_SKEW_SECONDS": "300", "GRISTMILL_PROVIDER_ORDER": " a, ,b "})
+    assert got.clock_skew_seconds == 300 and got.provider_order == ("a", "b")
+    for bad in ("-1", "301", "x"):
+        with pytest.raises(ValueError):
+            Settings.from_env({"GRISTMILL_CLOCK_SKEW_SECONDS": bad})
+
+
+def test_statuses(spark):
+    rows = spark.createDataFrame([("s", "u", 200), ("s", "v", 404), ("s", "w", None)], "source_name string, url string, status_code int")
+    assert sorted(r.message for r in payloads.status_errors(rows).collect()) == ["HTTP 404 from v", "HTTP none from w"]
