@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from gristmill.session import stage
+
 
 def first_wins(df: DataFrame, keys: list[str], order: list[str | Column]) -> DataFrame:
     """The first row of each key; a partial top 1 runs before the shuffle, so hot keys shrink first."""
@@ -35,15 +37,28 @@ def insert_if_absent(new: DataFrame, existing: DataFrame, keys: list[str], order
 
 
 def two_key_dedup(df: DataFrame, url: str, key: str, order: list[str | Column]) -> DataFrame:
-    """Adds outcome: kept, duplicate_url or duplicate_key. A row dropped by its url claims no key; null keys never collide.
+    """Adds outcome: kept, duplicate_url or duplicate_key, as if the rows were inserted one after the other in a table where
+    both are unique. A row that is dropped claims neither; null urls and keys never collide.
 
-    Exact where a url always has the same key, as both come from the same identifier.
+    In each round the rows that come first in both of their groups are kept and those that share one with them dropped; what
+    is left shares none with a kept row and goes into the next round. Of rows with equal order any comes first.
     """
-    by_url = mark_first(df, [url], order, "_url_first")
-    keyed = by_url.filter(F.col("_url_first") & F.col(key).isNotNull())
-    by_key = mark_first(keyed, [key], order, "_key_first").withColumn("outcome", F.when(F.col("_key_first"), "kept").otherwise("duplicate_key")).drop("_key_first")
-    rest = by_url.filter(~(F.col("_url_first") & F.col(key).isNotNull())).withColumn("outcome", F.when(F.col("_url_first"), "kept").otherwise("duplicate_url"))
-    return by_key.unionByName(rest).drop("_url_first")
+    rows = stage(df.withColumn("_at", F.struct(*order, F.monotonically_increasing_id().alias("_row"))), "two-keys")
+    open_rows, kept = rows.select("_at", F.col(url).alias("_u"), F.col(key).alias("_v")), None
+    while kept is None or not open_rows.isEmpty():
+        leads = open_rows
+        for c in ("_u", "_v"):
+            best = open_rows.filter(F.col(c).isNotNull()).groupBy(c).agg(F.min("_at").alias(f"_best{c}"))
+            leads = leads.join(best, c, "left")
+        leads = leads.filter(F.coalesce(F.col("_at") == F.col("_best_u"), F.lit(True)) & F.coalesce(F.col("_at") == F.col("_best_v"), F.lit(True)))
+        leads = stage(leads.select("_at", "_u", "_v"), "two-keys-kept")
+        kept = leads if kept is None else kept.unionByName(leads)
+        free = open_rows.filter("_u is not null or _v is not null").join(leads.select("_u").filter("_u is not null"), "_u", "left_anti")
+        open_rows = stage(free.join(leads.select("_v").filter("_v is not null"), "_v", "left_anti").select("_at", "_u", "_v"), "two-keys-open")
+    claimed = kept.filter("_u is not null").select(F.col("_u"), F.col("_at").alias("_claim"))
+    marked = rows.join(kept.select("_at", F.lit(True).alias("_kept")), "_at", "left").join(claimed, F.col(url) == F.col("_u"), "left")
+    outcome = F.when(F.col("_kept"), "kept").when(F.col("_claim") < F.col("_at"), "duplicate_url").otherwise("duplicate_key")
+    return marked.withColumn("outcome", outcome).drop("_at", "_kept", "_u", "_claim")
 
 
 def minus_seen(new: DataFrame, seen: DataFrame, keys: list[str]) -> DataFrame:

@@ -42,8 +42,10 @@ def research_rules() -> list[Rule]:
     return [required("title"), http_url("paper_url"), Rule("github_url: must be a repository", repo), not_negative("github_stars"), required("source_name")]
 
 
-def news_rules() -> list[Rule]:
-    strict = Rule("published_at: must be a complete timestamp with zone", strict_timestamp(F.col("published_at")).isNotNull())
+def news_rules(moment: str | None = None) -> list[Rule]:
+    """moment: a column that holds the strict timestamp already."""
+    read = F.col(moment) if moment else strict_timestamp(F.col("published_at"))
+    strict = Rule("published_at: must be a complete timestamp with zone", read.isNotNull())
     return [required("title"), required("source_name"), required("full_text_location"), http_url("url"), strict]
 
 

@@ -23,7 +23,7 @@ PRODUCT_ORDER = ["vendorpages", "launchfolio", "orbit_index"]
 def route_news(news: DataFrame, sources: DataFrame, reference: datetime = NEWS_REFERENCE, hours: float = NEWS_HOURS) -> DataFrame:
     """Rows of enabled sources with their status; the first of each (source, url) that passes the gates is inserted."""
     rows = registry.only_enabled(news, sources).withColumn("moment", dates.strict_timestamp(F.col("published_at")))
-    rules, moment = validate.news_rules(), F.col("moment")
+    rules, moment = validate.news_rules("moment"), F.col("moment")
     passing = validate.passes_gates(rules, moment, reference, hours, 0)
     flagged = dedup.mark_first(rows.withColumn("_late", (~F.coalesce(passing, F.lit(False))).cast("int")), ["source_name", "url"], ["_late", "collected_at", "id"])
     return validate.route(flagged, rules, moment, reference, hours, 0).drop("_late")
@@ -112,7 +112,7 @@ def pipeline_research(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Works as papers, each address once over all sources, the earliest retrieved first."""
     works = table(spark, sf_dir, "openalex_works")
     papers = payloads.openalex_papers(works).withColumn("published", dates.absolute_date(F.col("publication_date")))
-    first = dedup.first_wins(papers, ["paper_url"], ["paper_external_id", "title"])
+    first = dedup.first_wins(papers, ["paper_url"], ["retrieved_at", "paper_external_id", "title"])
     return first.select("paper_url", "paper_external_id", "title", "authors", F.to_date("published").alias("published_on"))
 
 

@@ -124,10 +124,16 @@ def idempotent_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
     return first.agg(F.lit(1).alias("run"), F.count("*").alias("inserted")).unionByName(second.agg(F.lit(2).alias("run"), F.count("*").alias("inserted")))
 
 
-@query("""with u as (select doc_id, coalesce(url, 'doc:' || doc_id) as url_key, nullif(lower(trim(text)), '') as dedup_key from documents),
-a as (select *, row_number() over (partition by url_key order by doc_id) as r1 from u),
-b as (select *, row_number() over (partition by dedup_key order by doc_id) as r2 from a where r1 = 1 and dedup_key is not null)
-select a.doc_id, case when a.r1 > 1 then 'duplicate_url' when a.dedup_key is null or b.r2 = 1 then 'kept' else 'duplicate_key' end as outcome from a left join b using (doc_id)""")
+def _in_turn(rows: str) -> str:
+    """CTEs o (i, u, k, the rows') and turn (i, outcome): rows inserted one after the other where u and k are unique."""
+    return f"""o as ({rows}),
+turn as (select 0::bigint as i, []::varchar[] as us, []::varchar[] as ks, '' as outcome
+  union all select i, case x when 'kept' then list_append(us, u) else us end, case when x = 'kept' and k is not null then list_append(ks, k) else ks end, x from (
+    select o.i, o.u, o.k, us, ks, case when list_contains(us, o.u) then 'duplicate_url' when o.k is not null and list_contains(ks, o.k) then 'duplicate_key' else 'kept' end as x from turn join o on o.i = turn.i + 1))"""
+
+
+@query(f"""with recursive {_in_turn("select doc_id, row_number() over (order by doc_id) as i, md5(coalesce(url, 'doc:' || doc_id)) as u, md5(nullif(lower(trim(text)), '')) as k from documents")}
+select doc_id, outcome from o join turn using (i)""")
 def two_key_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = F.nullif(F.lower(F.trim("text")), F.lit(""))
     rows = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("url", F.concat(F.lit("doc:"), "doc_id")).alias("url_key"), key.alias("dedup_key"))
@@ -564,13 +570,17 @@ ORACLES["pipeline_urls"] = f"""select id, source_name, {_NORMAL} as normalized_u
 ORACLES["pipeline_jobs"] = f"""{pipelines.JOBS_SQL}, k as (select *, {_KEY.format('company')} as key from routed)
 select id, source_name, status, moment as posted_at, case when status in ('inserted', 'duplicate') and length(key) >= 2 then key end as entity_key from k"""
 
-ORACLES["pipeline_products"] = f"""with p as (select id, source_url, ord, trim(data->>'$.product_name') as product_name, trim(data->>'$.startup_name') as startup_name,
-    lower(trim(data->>'$.product_name')) as dedup_key from parsed_records where record_type = 'product' and json_valid(data)),
+def _products(order: str) -> str:
+    """CTEs of the checked products (v) and, by order, what becomes of the valid ones (o, turn)."""
+    return f"""p as (select id, source_name, source_url, ord, coalesce(list_position({pipelines.PRODUCT_ORDER}, source_name), {len(pipelines.PRODUCT_ORDER) + 1}) as source_rank,
+    trim(data->>'$.product_name') as product_name, trim(data->>'$.startup_name') as startup_name, lower(trim(data->>'$.product_name')) as dedup_key
+  from parsed_records where record_type = 'product' and json_valid(data)),
 v as (select *, {_NON_BLANK.format('startup_name')} and {_HTTP.format('source_url')} as ok from p),
-a as (select *, row_number() over (partition by source_url order by ord, id) as r1 from v where ok),
-b as (select id, row_number() over (partition by dedup_key order by ord, id) as r2 from a where r1 = 1 and dedup_key is not null)
-select v.id, v.startup_name, v.product_name, case when not v.ok then 'invalid' when a.r1 > 1 then 'duplicate_url'
-  when a.dedup_key is null or b.r2 = 1 then 'kept' else 'duplicate_key' end as outcome from v left join a using (id) left join b using (id)"""
+{_in_turn(f"select *, row_number() over (order by {order}) as i, source_url as u, dedup_key as k from v where ok")}"""
+
+
+ORACLES["pipeline_products"] = f"""with recursive {_products('ord, id')}
+select v.id, v.startup_name, v.product_name, coalesce(outcome, 'invalid') as outcome from v left join o using (id) left join turn on turn.i = o.i"""
 
 ORACLES["pipeline_startups"] = rf"""with b as (select page_id, body::json j from api_pages where source_name = 'yc_directory' and json_valid(body)),
 h as (select page_id, unnest(hits) hit, unnest(range(len(hits))) pos1 from (select page_id, case when json_type(j, '$.hits') = 'ARRAY' then json_extract(j, '$.hits[*]')
@@ -594,16 +604,9 @@ n as (select id, row_number() over (order by collected_at, id) as ord, {_KEY.for
 ORACLES["pipeline_jobs_entities"] = f"""{_JOB_NAMES}
 select source_name, url, company, moment as posted_at, entity.canonical_entity_id from routed join n using (id) left join entity using (key) where status = 'inserted'"""
 
-_PRODUCTS = f"""p as (select id, source_name, source_url, ord as o, coalesce(list_position({pipelines.PRODUCT_ORDER}, source_name), {len(pipelines.PRODUCT_ORDER) + 1}) as rank,
-    trim(data->>'$.product_name') as product_name, trim(data->>'$.startup_name') as startup_name, lower(trim(data->>'$.product_name')) as dedup_key
-  from parsed_records where record_type = 'product' and json_valid(data)),
-v as (select *, {_NON_BLANK.format('startup_name')} and {_HTTP.format('source_url')} as ok from p),
-u as (select *, row_number() over (partition by source_url order by rank, o, id) as r1 from v where ok),
-d as (select id, row_number() over (partition by dedup_key order by rank, o, id) as r2 from u where r1 = 1 and dedup_key is not null),
-kept as (select u.* from u left join d using (id) where r1 = 1 and (dedup_key is null or r2 = 1))"""
-
-ORACLES["pipeline_products_entities"] = f"""with recursive {_PRODUCTS.replace('p as (', 'pr as (', 1).replace(' from p)', ' from pr)')},
-n as (select id, row_number() over (order by rank, o, id) as ord, {_KEY.format('startup_name')} as key from kept), {_ROOTS}
+ORACLES["pipeline_products_entities"] = f"""with recursive {_products('source_rank, ord, id').replace('p as (', 'pr as (', 1).replace(' from p)', ' from pr)')},
+kept as (select o.* from o join turn using (i) where outcome = 'kept'),
+n as (select id, i as ord, {_KEY.format('startup_name')} as key from kept), {_ROOTS}
 select source_name, source_url, product_name, startup_name, canonical_entity_id from kept join n using (id) left join entity using (key)"""
 
 ORACLES["pipeline_news_provenance"] = f"""{pipelines.NEWS_SQL}, i as (select *, sha256(full_text_location) as content_hash from routed where status = 'inserted')
@@ -626,7 +629,7 @@ _JOB_ERRORS = _messages(*_filled("title", "company", "source_name"), _URL_RULE,
 _PRODUCT_ERRORS = _messages(*_filled("startup_name"), (_HTTP.format("source_url"), "source_url: must be an http(s) URL"))
 ORACLES["pipeline_errors"] = f"""select 'news-1' as crawl_run_id, source_name, url, 'validation_error' as error_category, {_NEWS_ERRORS} as message from ({pipelines.NEWS_SQL} select * from routed where status = 'invalid')
 union all select 'jobs-1', source_name, url, 'validation_error', {_JOB_ERRORS} from ({pipelines.JOBS_SQL} select * from routed where status = 'invalid')
-union all select 'products-1', source_name, source_url, 'ValidationError', {_PRODUCT_ERRORS} from (with {_PRODUCTS} select * from v where not ok)"""
+union all select 'products-1', source_name, source_url, 'ValidationError', {_PRODUCT_ERRORS} from (with recursive {_products('id')} select * from v where not ok)"""
 
 ORACLES["pipeline_rerun"] = f"""{_JOB_NAMES},
 news_routed as ({pipelines.NEWS_SQL} select * from routed),

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gristmill.functions.text import deterministic_id
-from gristmill.operators.dedup import insert_if_absent
+from gristmill.operators.dedup import insert_if_absent, minus_seen, two_key_dedup
 from gristmill.schemas import NATURAL_KEYS, TABLES, ddl
 from gristmill.session import stage
 
@@ -43,10 +43,13 @@ class Store:
         """Appends the first row of each key that the table lacks; the number of rows appended. Rows without an identifier of
         their own get that of their key."""
         keys = NATURAL_KEYS[table]
-        new = insert_if_absent(rows, self.read(table), keys, order)
-        if table == "products":  # a second key that is unique where it is not null
-            seen = self.read(table).filter("dedup_key is not null").select("dedup_key").distinct()
-            new = new.filter("dedup_key is null").unionByName(insert_if_absent(new.filter("dedup_key is not null"), seen, ["dedup_key"], order))
+        if table == "products":  # a second key that is unique where it is not null: a row that hits either is refused
+            stored = self.read(table)
+            new = minus_seen(rows, stored, keys)
+            new = new.filter("dedup_key is null").unionByName(minus_seen(new.filter("dedup_key is not null"), stored, ["dedup_key"]))
+            new = two_key_dedup(new.withColumn("_address", F.struct(*keys)), "_address", "dedup_key", order).filter("outcome = 'kept'").drop("outcome", "_address")
+        else:
+            new = insert_if_absent(rows, self.read(table), keys, order)
         if "id" not in new.columns:
             new = new.withColumn("id", self.id_of(table, *keys))
         columns = [c.split()[0] for c in _columns(ddl(table))]

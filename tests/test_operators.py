@@ -33,10 +33,10 @@ def test_two_key_dedup_equals_greedy_scan(spark):
         if u in urls:
             want[i] = "duplicate_url"
             continue
-        urls.add(u)
         if k is not None and k in seen:
-            want[i] = "duplicate_key"
+            want[i] = "duplicate_key"  # and claims no address
             continue
+        urls.add(u)
         seen.add(k)
         want[i] = "kept"
     got = dedup.two_key_dedup(spark.createDataFrame(rows, "i int, u string, k string"), "u", "k", ["i"])
@@ -216,3 +216,19 @@ def test_settings(monkeypatch):
 def test_statuses(spark):
     rows = spark.createDataFrame([("s", "u", 200), ("s", "v", 404), ("s", "w", None)], "source_name string, url string, status_code int")
     assert sorted(r.message for r in payloads.status_errors(rows).collect()) == ["HTTP 404 from v", "HTTP none from w"]
+
+
+def test_two_keys_where_an_address_has_several_keys(spark):
+    rng = random.Random(11)
+    for n in (1, 40, 200):
+        rows = [(i, rng.choice([None, *"abcdefgh"]) and f"u{rng.randrange(n)}", rng.choice([None, f"k{rng.randrange(n)}", f"k{rng.randrange(n)}"])) for i in range(2 * n)]
+        seen_u, seen_k, want = set(), set(), {}
+        for i, u, k in rows:
+            want[i] = "duplicate_url" if u is not None and u in seen_u else "duplicate_key" if k is not None and k in seen_k else "kept"
+            if want[i] == "kept":
+                seen_u.add(u)
+                seen_k.add(k)
+        got = dedup.two_key_dedup(spark.createDataFrame(rows, "i int, u string, k string"), "u", "k", ["i"])
+        assert {r.i: r.outcome for r in got.collect()} == want
+    same = spark.createDataFrame([("u", "k")] * 3, "u string, k string")
+    assert sorted(r.outcome for r in dedup.two_key_dedup(same, "u", "k", ["u"]).collect()) == ["duplicate_url", "duplicate_url", "kept"]
