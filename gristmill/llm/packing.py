@@ -65,41 +65,43 @@ def exact_fit(sizes: list[int], capacity: int) -> list[list[int]]:
     for size, items in waiting.items():
         left[size] = len(items)
 
-    def pair(room: int) -> tuple[int, int] | None:
+    def pair(room: int, largest: int) -> tuple[int, int] | None:
         """The most unlike two sizes that fill the room together."""
-        first = np.arange(room - 1, (room - 1) // 2, -1)
-        other = room - first
-        ok = (left[first] > 0) & (left[other] > (first == other))
-        at = int(ok.argmax()) if len(ok) else 0
-        return (int(first[at]), int(other[at])) if len(ok) and ok[at] else None
+        top = min(room - 1, largest)
+        first = left[top : room // 2 : -1]  # sizes above half the room, falling; what they leave rises
+        ok = (first > 0) & (left[room - top : room - top + len(first)] > 0)
+        if len(ok) and ok[at := int(ok.argmax())]:
+            return top - at, room - top + at
+        return (room // 2, room // 2) if room % 2 == 0 and left[room // 2] > 1 else None
+
+    def fitting(room: int, largest: int) -> tuple[int, ...]:
+        """The sizes that come next into a bin with this room."""
+        if room <= largest and left[room]:
+            return (room,)
+        there = np.flatnonzero(left[1 : min(room, largest) + 1]) + 1
+        if not len(there):
+            return ()
+        largest = int(there[-1])
+        if room <= 2 * largest and (found := pair(room, largest)):
+            return found
+        for a in there[-1:-9:-1].tolist() if room <= 3 * largest else ():
+            left[a] -= 1
+            rest = pair(room - a, largest) if 1 < room - a <= 2 * largest else None
+            left[a] += 1
+            if rest:
+                return (a, *rest)
+        return (largest,)
 
     bins: list[list[int]] = []
-    order = sorted(waiting, reverse=True)
-    for size in order:
+    for size in sorted(waiting, reverse=True):
         while left[size]:
-            took, room = [size], capacity - size
-            left[size] -= 1
-            while room:
-                if left[room]:
-                    fits: tuple[int, ...] = (room,)
-                elif found := pair(room):
-                    fits = found
-                else:
-                    there = np.flatnonzero(left[1 : room + 1]) + 1
-                    if not len(there):
-                        break
-                    fits = (int(there[-1]),)
-                    for a in there[-1:-9:-1].tolist():
-                        left[a] -= 1
-                        rest = pair(room - a)
-                        left[a] += 1
-                        if rest:
-                            fits = (a, *rest)
-                            break
+            took, room, fits = [], capacity, (size,)
+            while fits:
                 for a in fits:
                     left[a] -= 1
                     room -= a
                 took += fits
+                fits = fitting(room, size) if room else ()
             bins.append([waiting[s].pop() for s in took])
     if nothing:
         bins = bins or [[]]
