@@ -163,18 +163,24 @@ class Form:
 
 
 def _typed(token: str, word: str) -> float:
-    """Like token_similarity, but with the word as it is spelt, and one more error in a long one: the words are few and far apart."""
+    """Similarity by typing errors, with one more in a long word: common words are few and far apart."""
+    ours, theirs = set(token), set(word)
+    if abs(len(token) - len(word)) > 3 or len(theirs - ours) > 3 or len(ours - theirs) > 3:  # each error takes or brings one letter at most
+        return 0.0
     errors = distance(token, word)
     known = errors <= allowed(token, word) + (min(len(token), len(word)) >= 9)
-    return max(token_similarity(token, word), 1 - errors / max(len(token), len(word)) if known else 0.0)
+    return 1 - errors / max(len(token), len(word)) if known else 0.0
 
 
 def misspelt(token: str, word: str) -> bool:
     """Whether a token is a long word with one error and another ending, or with one error and a few letters more."""
-    if len(word) >= 5 and 0 < len(token) - len(word) <= 5 and any(distance(token[:n], word) <= 1 for n in range(len(word) - 1, len(word) + 2)):
-        return True
+    if len(word) >= 5 and 0 < len(token) - len(word) <= 5 and len(set(word) - set(token)) <= 1:
+        if any(distance(token[:n], word) <= 1 for n in range(len(word) - 1, len(word) + 2)):
+            return True
     stem = token[:-1]
-    return len(stem) >= max(6, 0.6 * len(word)) and any(distance(stem, word[:n]) <= 1 for n in range(len(stem) - 1, len(stem) + 2))
+    if len(stem) < max(6, 0.6 * len(word)) or len(set(stem) - set(word)) > 1:
+        return False
+    return any(distance(stem, word[:n]) <= 1 for n in range(len(stem) - 1, len(stem) + 2))
 
 
 def stands_for(token: str, word: str) -> bool:
@@ -226,6 +232,16 @@ class Vocabulary:
 NO_WORDS = Vocabulary()
 
 
+def _in_two(token: str, after: str, word: str | None, common: Vocabulary) -> str | None:
+    """The common word that two tokens make together, the first standing for ``word`` alone."""
+    last = common.read(after)
+    if word is not None and last not in (None, word) or word is None and last is not None and not (last.startswith(token) or last.endswith(after)):
+        return None
+    joined = common.read(token + after)
+    whole = joined == word or word is None and joined is not None and (joined.startswith(token) or joined.endswith(after) and joined != after)
+    return joined if joined in common.words and whole and last in (None, joined) else None
+
+
 def company_form(name: str, common: Vocabulary = NO_WORDS) -> Form | None:
     """The form of a firm's name; None for blanks and placeholders."""
     plain = " ".join(w for w in unicodedata.normalize("NFC", name).split() if fold(w).strip(".,()") not in NOISE) or name
@@ -246,9 +262,8 @@ def company_form(name: str, common: Vocabulary = NO_WORDS) -> Form | None:
             i += 1 + (len(token) == 1)
             continue
         word = common.read(token) if len(kept) > 1 else None
-        joined = common.read(token + after) if after and core else None
-        if joined in common.words and (joined == word or word is None and (joined.startswith(token) or joined.endswith(after) and joined != after)) and common.read(after) in (None, joined):
-            trades.append(joined)  # one common word in two parts
+        if after and core and (joined := _in_two(token, after, word, common)):
+            trades.append(joined)
             i += 2
             continue
         (core if word is None else trades).append(token if word is None else word)
@@ -269,7 +284,8 @@ def company_form(name: str, common: Vocabulary = NO_WORDS) -> Form | None:
 
 @lru_cache(maxsize=200_000)
 def _like_given(token: str) -> float:
-    return max((s for n in NICKNAMES if (s := token_similarity(token, n)) < 0.95), default=0.0) if len(token) > 3 else 0.0
+    near = [n for n in NICKNAMES if len(set(n) - set(token)) <= 2]  # each of two errors takes away one letter at most
+    return max((s for n in near if (s := token_similarity(token, n)) < 0.95), default=0.0) if len(token) > 3 else 0.0
 
 
 def _is_given(token: str, common: Vocabulary) -> float:

@@ -216,11 +216,13 @@ def _epoch_batches(epoch: int):
 def _pack_demes(demes: DataFrame) -> DataFrame:
     """demes: capacity_id, capacity_tokens, deme, ids, sizes. Adds bins: each item's bin, by the best island."""
     keys = ["capacity_id", "capacity_tokens", "deme"]
+    spark = demes.sparkSession  # few rows that take long: the optimizer would leave them to few tasks
+    tasks = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
     none = F.lit(None).cast("array<array<int>>")
     islands = demes.withColumn("island", F.explode(F.sequence(F.lit(0), F.lit(ISLANDS - 1)))).withColumn("seeds", F.coalesce(none, F.array()))
     schema = "capacity_id int, capacity_tokens int, deme bigint, island int, n_bins int, least int, score double, bins array<int>"
     for epoch in range(EPOCHS):
-        ran = stage(islands.select(*keys, "island", "sizes", "seeds").mapInPandas(_epoch_batches(epoch), schema), "pack-epoch")
+        ran = stage(islands.select(*keys, "island", "sizes", "seeds").repartition(tasks, "deme", "island", "capacity_id").mapInPandas(_epoch_batches(epoch), schema), "pack-epoch")
         # rings: an island's own elite, and the elite of the one before it
         elites = ran.select(*keys, "island", "bins").unionByName(ran.select(*keys, F.pmod(F.col("island") + 1, F.lit(ISLANDS)).alias("island"), "bins"))
         seeds = elites.groupBy(*keys, "island").agg(F.collect_list("bins").alias("seeds"))
