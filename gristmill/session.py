@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import shutil
 import tempfile
@@ -54,10 +55,24 @@ def new_path(spark: SparkSession, name: str) -> str:
 _staged: dict[str, list[str]] = {}
 
 
+def _drop_at_exit(spark: SparkSession) -> None:
+    """Removes what is staged when the driver ends, as nothing can read it then."""
+    local = [p.removeprefix("file://").removeprefix("file:") for p in _staged.get(_app(spark), []) if "://" not in p.removeprefix("file://")]
+    try:
+        drop_staged(spark)
+    except Exception:  # noqa: BLE001  the session is gone: local folders can still be removed
+        for path in local:
+            shutil.rmtree(path, ignore_errors=True)
+
+
+def _app(spark: SparkSession) -> str:
+    return spark.sparkContext.applicationId
+
+
 def drop_staged(spark: SparkSession) -> None:
     """Removes the session's staged tables. Only once every result that reads them has been written."""
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    for path in _staged.pop(spark.sparkContext.applicationId, []):
+    for path in _staged.pop(_app(spark), []):
         target = jvm.org.apache.hadoop.fs.Path(path)
         target.getFileSystem(conf).delete(target, True)
 
@@ -70,7 +85,10 @@ def stage(df: DataFrame, name: str, folders: list[str] | None = None) -> DataFra
     """
     path = new_path(df.sparkSession, name)
     df.write.partitionBy(*folders or []).parquet(path)
-    _staged.setdefault(df.sparkSession.sparkContext.applicationId, []).append(path)
+    if _app(df.sparkSession) not in _staged:
+        _staged[_app(df.sparkSession)] = []
+        atexit.register(_drop_at_exit, df.sparkSession)
+    _staged[_app(df.sparkSession)].append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -80,6 +80,10 @@ def test_captured_source_and_registry(spark, tmp_path):
     registry.register_sources(spark)
     got = spark.read.format("captured").option("path", str(tmp_path)).option("source", "demo").load().orderBy("ord").collect()
     assert [(r.source_name, r.text, r.ord) for r in got] == [("demo", "{}", 0), ("demo", "<x/>", 1)]
+    small = spark.read.format("captured").option("path", str(tmp_path)).option("filesPerPartition", "1").load()
+    assert small.rdd.getNumPartitions() == 2 and sorted(r.ord for r in small.collect()) == [0, 1]
+    pages = registry.captured_pages(spark, str(tmp_path), "demo").orderBy("ord").collect()
+    assert [(r.source_name, r.status_code, r.text) for r in pages] == [("demo", 200, "{}"), ("demo", 200, "<x/>")]
     names = spark.createDataFrame([("a", "news", True), ("b", "news", False)], "name string, vertical string, enabled boolean")
     rows = spark.createDataFrame([("a",), ("b",), ("c",)], "source_name string")
     assert [r.source_name for r in registry.only_enabled(rows, names).collect()] == ["a"]
