@@ -55,9 +55,9 @@ def new_path(spark: SparkSession, name: str) -> str:
 _staged: dict[str, list[str]] = {}
 
 
-def _drop_at_exit(spark: SparkSession) -> None:
+def _drop_at_exit(spark: SparkSession, app: str) -> None:
     """Removes what is staged when the driver ends, as nothing can read it then."""
-    local = [p.removeprefix("file://").removeprefix("file:") for p in _staged.get(_app(spark), []) if "://" not in p.removeprefix("file://")]
+    local = [p.removeprefix("file://").removeprefix("file:") for p in _staged.get(app, []) if "://" not in p.removeprefix("file://")]
     try:
         drop_staged(spark)
     except Exception:  # noqa: BLE001  the session is gone: local folders can still be removed
@@ -87,7 +87,7 @@ def stage(df: DataFrame, name: str, folders: list[str] | None = None) -> DataFra
     df.write.partitionBy(*folders or []).parquet(path)
     if _app(df.sparkSession) not in _staged:
         _staged[_app(df.sparkSession)] = []
-        atexit.register(_drop_at_exit, df.sparkSession)
+        atexit.register(_drop_at_exit, df.sparkSession, _app(df.sparkSession))
     _staged[_app(df.sparkSession)].append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
