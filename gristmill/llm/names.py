@@ -31,7 +31,7 @@ from zlib import crc32
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gristmill.session import stage
@@ -420,14 +420,21 @@ def candidate_cores(cores: DataFrame) -> DataFrame:
 
 def common_words(strings: DataFrame) -> dict[str, Vocabulary]:
     """Each kind's common words, pairs and heads: at most 1/COMMON_SHARE times the words of a string of each."""
-    totals = strings.groupBy("kind").agg(F.count("*").alias("total"), F.sum("n").alias("rows"))
+    totals = {r.kind: (r.total, r.rows) for r in strings.groupBy("kind").agg(F.count("*").alias("total"), F.sum("n").alias("rows")).collect()}  # a row for each kind
+
+    def of_kind(i: int) -> Column:
+        found = F.lit(None).cast("bigint")
+        for kind, counts in totals.items():
+            found = F.when(F.col("kind") == kind, F.lit(counts[i])).otherwise(found)
+        return found
+
     split = F.filter(F.split(F.lower("name"), r"[^\p{L}]+"), lambda w: (F.length(w) > 2) & ~w.isin(*sorted(NOISE)))
     words = strings.select("kind", "n", F.array_distinct(split).alias("ws")).filter("size(ws) > 0")
     each = words.select("kind", "n", "ws", F.posexplode("ws").alias("i", "w"))
     head = F.coalesce(F.get(F.filter("ws", lambda x: x != F.col("w")), F.lit(0)), F.lit(""))
     sums = [F.count("*").alias("df"), F.count_if(F.col("i") > 0).alias("behind"), F.sum("n").alias("uses"), F.sum(F.when(F.col("i") == 0, F.col("n")).otherwise(0)).alias("ahead")]
     heads = each.groupBy("kind", "w", head.alias("head")).agg(*sums)
-    often = heads.groupBy("kind", "w").agg(*[F.sum(c).alias(c) for c in ("df", "behind", "uses", "ahead")], F.max("df").alias("one")).join(totals, "kind")
+    often = heads.groupBy("kind", "w").agg(*[F.sum(c).alias(c) for c in ("df", "behind", "uses", "ahead")], F.max("df").alias("one")).withColumns({"total": of_kind(0), "rows": of_kind(1)})
     wide = (F.col("df") >= F.col("total") * COMMON_SHARE) & (F.col("one") <= F.col("df") * ONE_HEAD) & F.when(F.col("kind") == "company", F.col("behind") * 2 > F.col("df")).otherwise(F.col("behind") * 2 < F.col("df"))
     known_head = (F.col("kind") == "company") & (F.col("uses") >= F.col("rows") * COMMON_SHARE) & (F.col("ahead") * 2 > F.col("uses"))
     found: dict[str, dict[str, int]] = {}
@@ -441,7 +448,7 @@ def common_words(strings: DataFrame) -> dict[str, Vocabulary]:
     two = F.transform(F.sequence(F.lit(0), F.size("ws") - 2), lambda i: F.struct(F.get("ws", i).alias("a"), F.get("ws", i + 1).alias("b")))
     pairs = words.filter("kind = 'company' and size(ws) > 1").select(F.explode(two).alias("p")).select("p.a", "p.b")
     pairs = pairs.filter(F.array_contains(known, F.col("a")) & F.array_contains(known, F.col("b"))).groupBy("a", "b").agg(F.count("*").alias("n"))
-    total = next((r.total for r in totals.collect() if r.kind == "company"), 0)  # a row for each kind
+    total = totals.get("company", (0, 0))[0]
     by_initials: dict[str, tuple[str, str]] = {}
     for row in sorted(pairs.filter(F.col("n") >= total * COMMON_SHARE).select("n", "a", "b").collect()):
         by_initials[row.a[0] + row.b[0]] = (row.a, row.b)  # the most frequent one last
