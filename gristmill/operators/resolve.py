@@ -55,41 +55,57 @@ def longest_partner(length: int, floor: float) -> int:
     return math.floor(length * (2 - floor) / floor + 1e-9)
 
 
-def signatures(text: str, floor: float) -> list[int]:
-    """Hashes of which any two texts with this ratio share one.
+def ends_of(text: str, floor: float) -> dict[str, int]:
+    """The ends of a text by which others with this ratio may know it, and how many letters each may lose.
 
-    Let the shorter have n letters. Both texts lose e letters at most in all, so at most e // 2 of these in their first h
+    Let the shorter of two have n letters. Both lose e letters at most in all, so at most e // 2 of these in their first h
     letters or in their last h, for any h up to n / 2. The first h letters of both, without as many letters as the one that
-    loses more of them does, have what they share in common. Each text names this for every n that it can meet.
+    loses more of them does, have what they share in common. Each text has ends for every n that it can meet.
     """
-    found = set()
+    found: dict[str, int] = {}
     for n in range(max(1, math.ceil(len(text) * floor / (2 - floor) - 1e-9)), len(text) + 1):
         h = min(END, n // 2)
         e = math.floor((1 - floor) * (n + longest_partner(n, floor)) + 1e-9) // 2
-        for side, end in ((0, text[:h]), (1, text[len(text) - h :][::-1])):
-            last = {end}
-            for lost in range(min(e, h) + 1):
-                found |= {crc32(f"{side}{h}/{t}".encode()) for t in last}
-                last = {t[:i] + t[i + 1 :] for t in last for i in range(len(t))} if lost < e else last
-    return sorted(found)
+        for end in (f"<{h}/{text[:h]}", f">{h}/{text[len(text) - h :][::-1]}"):
+            found[end] = max(found.get(end, 0), min(e, h))
+    return found
+
+
+def variants(end: str, lost: int) -> set[int]:
+    """Hashes of an end without so many letters or fewer."""
+    kind, _, letters = end.partition("/")
+    found, last = set(), {letters}
+    for n in range(lost + 1):
+        found |= {crc32(f"{kind}/{t}".encode()) for t in last}
+        last = {t[:i] + t[i + 1 :] for t in last for i in range(len(t))} if n < lost else last
+    return found
 
 
 def similar_keys(keys: DataFrame, floor: float = REVIEW) -> DataFrame:
     """(key, other, score) for pairs of different keys with a ratio of at least ``floor``, both ways."""
     share = floor / 100
 
+    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = [(key, text, end, lost) for key, text in zip(batch["key"], batch["text"], strict=True) for end, lost in ends_of(text, share).items()]
+            yield pd.DataFrame(rows, columns=["key", "text", "end", "lost"])
+
     def sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            yield pd.DataFrame({"key": batch["key"], "text": batch["text"], "sigs": [signatures(t, share) for t in batch["text"]]})
+            rows = [(end, sig) for end, lost in zip(batch["end"], batch["lost"], strict=True) for sig in variants(end, lost)]
+            yield pd.DataFrame(rows, columns=["end", "sig"])
 
     text = F.array_join(F.array_sort(F.filter(F.split("key", " "), lambda t: t != "")), " ")
-    signed = stage(keys.select("key", text.alias("text")).mapInPandas(sign, "key string, text string, sigs array<bigint>"), "key-signatures")
-    one = signed.select("key", F.col("text").alias("a"), F.explode("sigs").alias("sig"))
-    two = signed.select(F.col("key").alias("other"), F.col("text").alias("b"), F.explode("sigs").alias("sig"))
+    cuts = stage(keys.select("key", text.alias("text")).mapInPandas(cut, "key string, text string, end string, lost int"), "key-ends")
+    # many keys have an end in common: ends are compared once each, and keys met through the pairs of them
+    signed = stage(cuts.groupBy("end").agg(F.max("lost").alias("lost")).mapInPandas(sign, "end string, sig bigint"), "end-signatures")
+    near = signed.withColumnRenamed("end", "end_a").join(signed.withColumnRenamed("end", "end_b").hint("merge"), "sig").select("end_a", "end_b").distinct()
+    one = cuts.select("key", F.col("text").alias("a"), F.col("end").alias("end_a"))
+    two = cuts.select(F.col("key").alias("other"), F.col("text").alias("b"), F.col("end").alias("end_b"))
     letters, shorter = F.length("a") + F.length("b"), F.least(F.length("a"), F.length("b"))
     # a subsequence is no longer than the shorter text, and whoever inserts and deletes n letters edits n times at most
     close = (2 * shorter >= share * letters - 1e-6) & (F.levenshtein("a", "b") <= (1 - share) * letters + 1e-6)
-    met = one.join(two.hint("merge"), "sig").filter("key < other").filter(close).select("key", "other").distinct()
+    met = one.join(near.hint("merge"), "end_a").join(two.hint("merge"), "end_b").filter("key < other").filter(close).select("key", "other").distinct()
 
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
