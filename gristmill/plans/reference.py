@@ -638,3 +638,18 @@ c as (select 'jobs' as tbl, count(*) as n from routed where status = 'inserted'
   union all select 'entity_aliases', count(*) from link where key <> parent union all select 'entity_mapping_log', count(*) from n
   union all select 'processing_errors', (select count(*) from routed where status = 'invalid') + (select count(*) from news_routed where status = 'invalid'))
 select run::int as run, tbl, n from c, range(1, 3) r(run)"""
+
+_ALL_NAMES = f"""{pipelines.JOBS_SQL.replace('with ', 'with recursive ', 1)},
+{_products('ord, id').replace('p as (', 'pr as (', 1).replace(' from p)', ' from pr)')},
+every as (select 'startups' as vertical, source_url as id, entity_name as raw_name, 0 as run, null::timestamptz as seen_at, null::bigint as num, page_id::varchar as txt, pos1::bigint as pos from ({ORACLES['pipeline_startups']})
+  union all select 'products', id, startup_name, 1, null, o.ord, id, null from o join turn using (i) where outcome = 'kept'
+  union all select 'jobs', id, company, 2, collected_at, null, id, null from routed where status in ('inserted', 'duplicate')),
+n as (select *, row_number() over (order by run, seen_at nulls first, num nulls first, txt, pos nulls first) as ord, coalesce({_KEY.format('raw_name')}, '') as key from every), {_ROOTS},
+m as (select n.*, entity.canonical_entity_id, best.parent, best.score, case when length(key) < 2 then 'unresolved' when coalesce(best.score, 0) >= 92 then case when n.ord = t.first_ord then 'fuzzy' else 'alias' end
+    else case when n.ord = t.first_ord then 'created' else 'normalized_exact' end end as method from n left join t using (key) left join best using (key) left join entity using (key))"""
+
+ORACLES["pipeline_entity_methods"] = f"{_ALL_NAMES} select vertical, method, count(*) as n from m group by 1, 2"
+
+ORACLES["pipeline_entities"] = f"""{_ALL_NAMES} select vertical, id, raw_name, key as normalized_name, canonical_entity_id as canonical_id, method,
+  case method when 'unresolved' then 0.0 when 'alias' then 0.99 when 'fuzzy' then round_even(score / 100, 4) else 1.0 end::double as confidence,
+  case when method = 'created' and score < 92 then printf('%s (%.1f)', parent, score) end as review_candidate from m"""
