@@ -147,10 +147,11 @@ def union_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup.union_sources(a, b)
 
 
-@query("select c_custkey as custkey from customer except select o_custkey from orders")
+@query("select c_custkey as custkey from customer except select o_custkey from orders where o_orderpriority like '1%'")
 def new_minus_seen(spark: SparkSession, sf_dir: str) -> DataFrame:
     new = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("custkey"))
-    return dedup.minus_seen(new, table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("custkey")), ["custkey"])
+    seen = table(spark, sf_dir, "orders").filter("o_orderpriority like '1%'").select(F.col("o_custkey").alias("custkey"))
+    return dedup.minus_seen(new, seen, ["custkey"])
 
 
 @query("""select n.id, n.raw_document_id, r.content_hash, r.http_status from news n left join raw_documents r on r.id = n.raw_document_id""")
@@ -653,3 +654,13 @@ ORACLES["pipeline_entity_methods"] = f"{_ALL_NAMES} select vertical, method, cou
 ORACLES["pipeline_entities"] = f"""{_ALL_NAMES} select vertical, id, raw_name, key as normalized_name, canonical_entity_id as canonical_id, method,
   case method when 'unresolved' then 0.0 when 'alias' then 0.99 when 'fuzzy' then round_even(score / 100, 4) else 1.0 end::double as confidence,
   case when method = 'created' and score < 92 then printf('%s (%.1f)', parent, score) end as review_candidate from m"""
+
+_NAME = _SQUASH.format("a.author.display_name")
+ORACLES["pipeline_research"] = rf"""with w as (select *, {_STRIP.format('publication_date')} as v, {_SQUASH.format("coalesce(case when " + _NON_BLANK.format("title") + " then title end, display_name)")} as name,
+    coalesce({", ".join(f"case when {_HTTP.format(c)} then trim({c}) end" for c in ("doi", "primary_location.landing_page_url", "id"))}) as paper_url from openalex_works),
+x as (select *, regexp_replace(regexp_replace(v, '^[A-Za-z]{{3}},\s*', ''), '(GMT|UTC)$', '+0000') as plain from w where {_NON_BLANK.format('name')} and paper_url is not null),
+d as (select *, nullif(regexp_extract(id, '/(W\d+)\s*$', 1), '') as paper_external_id, coalesce({pipelines.STRICT_TS},
+    case when regexp_full_match(v, '\d{{4}}-\d{{2}}-\d{{2}}([T ].*)?') then try_cast(v as timestamptz) end,
+    try_strptime(plain, ['%d %b %Y', '%d %B %Y', '%b %d, %Y', '%B %d, %Y', '%Y/%m/%d', '%Y%m%d'])::timestamptz, try_strptime(plain, '%d %b %Y %H:%M:%S %z')) as published from x)
+select paper_url, paper_external_id, name as title, list_filter(list_transform(authorships, lambda a: {_NAME}), lambda n: n is not null and n <> '') as authors, published::date as published_on from d
+qualify row_number() over (partition by paper_url order by retrieved_at nulls first, paper_external_id nulls first, name nulls first) = 1"""
